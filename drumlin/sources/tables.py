@@ -1,6 +1,6 @@
 """Parquet tables that change by publishing a new list of folders.
 
-A table is ``root/data/<run>/[<partition>=<value>/]`` plus ``root/versions/<n>``,
+A table is ``root/data/run=<id>/[<partition>=<value>/]`` plus ``root/versions/<n>``,
 one small JSON row naming the folders that make up version n. Writers add
 folders and publish them with one new version, so readers and failed runs never
 see half a change, unchanged partitions are not copied, and a job may read the
@@ -90,7 +90,7 @@ def write(
     partition over many tasks and merges small ones.
     """
     spark = df.sparkSession
-    run = f"run-{uuid.uuid4().hex}"
+    run = f"run={uuid.uuid4().hex}"
     path = f"{root}/data/{run}"
     if partition is None:
         df.write.parquet(path)

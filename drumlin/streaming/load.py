@@ -12,7 +12,8 @@ from drumlin.session import configure
 from drumlin.sources import tables
 from drumlin.sources.pages import PAGES, from_text
 
-LAST_BATCH = "stream_batch"
+# Note under which the raw table records a stream's last applied micro-batch.
+LAST_BATCH = "stream_batch of {}"
 
 
 def page_file_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None):
@@ -49,9 +50,10 @@ def load_stream(
     be spread over micro-batches, so its completeness is not checked here.
     """
     spark = configure(pages.sparkSession)
+    last_batch = LAST_BATCH.format(checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
-        if number <= int(tables.latest(spark, root).notes.get(LAST_BATCH, -1)):
+        if number <= int(tables.latest(spark, root).notes.get(last_batch, -1)):
             return
         load_pages(
             spark,
@@ -61,7 +63,7 @@ def load_stream(
             load_ts=load_ts,
             update=update,
             require_complete=False,
-            notes={LAST_BATCH: str(number)},
+            notes={last_batch: str(number)},
         )
 
     query = (
