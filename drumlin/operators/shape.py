@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drumlin.contract import KNOWN_KEYS, MAX_LENGTH, REQUIRED
-from drumlin.sources.pages import ORDER
+from drumlin.sources.pages import ORDER, is_event
 
 # A timestamp names a full date; Spark alone would also take '2024' or '10:00'.
 FULL_DATE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
@@ -18,18 +18,19 @@ def _instant(text: str) -> Column:
 
 def _nested(key: str) -> Column:
     """The key holds an object or array. The type is only looked up if its text could be one."""
+    text = F.col(key)
     kind = F.schema_of_variant(F.variant_get("event", f"$.{key}", "variant"))
-    return F.when(F.col(key).rlike(r"^[\[{]"), kind.rlike("^(OBJECT|ARRAY)"))
+    return F.when(text.startswith("{") | text.startswith("["), kind.rlike("^(OBJECT|ARRAY)"))
 
 
 def _rules() -> dict[str, Column]:
-    is_event = F.col("fields").isNotNull()
+    is_object = F.col("payload").isNotNull()
     rules = {
         "malformed_page": ~F.col("page_ok"),
-        "event_not_object": F.col("page_ok") & ~is_event,
+        "event_not_object": is_event() & ~is_object,
     }
     for name in REQUIRED:
-        rules[f"{name}_missing"] = is_event & F.col(name).isNull()
+        rules[f"{name}_missing"] = is_object & F.col(name).isNull()
     for name, limit in MAX_LENGTH.items():
         rules[f"{name}_too_long"] = F.char_length(name) > limit
     for name in ("timestamp", "ingestion_timestamp"):
@@ -40,7 +41,7 @@ def _rules() -> dict[str, Column]:
 
 
 def shape(events: DataFrame, default_source: str) -> DataFrame:
-    """Raw columns, delivery order and ``violations`` (names of broken rules) per event.
+    """Raw columns, delivery order and ``violations`` (comma-separated names of broken rules).
 
     The payload keeps every key that is not a column, with its JSON type.
     ``source_api`` falls back to ``default_source`` only where the key is
@@ -48,34 +49,36 @@ def shape(events: DataFrame, default_source: str) -> DataFrame:
     """
     known = [F.lit(key) for key in KNOWN_KEYS]
     fields = F.try_variant_get("event", "$", "map<string,variant>")
-    lifted = events.withColumn("fields", fields).withColumns(
-        {key: F.variant_get("event", f"$.{key}", "string") for key in KNOWN_KEYS}
+    given = F.variant_get("event", "$.source_api", "variant").isNotNull()
+    lifted = (
+        events.withColumn(
+            "payload", F.to_variant_object(F.map_filter(fields, lambda key, _: ~key.isin(*known)))
+        )
+        .withColumns({key: F.variant_get("event", f"$.{key}", "string") for key in KNOWN_KEYS})
+        .withColumn(
+            "source_api", F.when(given, F.col("source_api")).otherwise(F.lit(default_source))
+        )
     )
-    given = F.map_contains_key("fields", "source_api")
-    checked = lifted.withColumn(
-        "source_api", F.when(given, F.col("source_api")).otherwise(F.lit(default_source))
-    ).withColumn(
-        "violations",
-        F.array_compact(F.array(*[F.when(rule, F.lit(n)) for n, rule in _rules().items()])),
-    )
-    rest = F.map_filter("fields", lambda key, _: ~key.isin(*known))
-    return checked.select(
+    broken = F.concat_ws(",", *[F.when(rule, F.lit(name)) for name, rule in _rules().items()])
+    return lifted.select(
         *ORDER,
+        "has_more",
         "event_id",
         "device_id",
         "event_type",
         _instant("timestamp").alias("timestamp"),
-        F.to_variant_object(rest).alias("payload"),
+        "payload",
         "source_api",
         _instant("ingestion_timestamp").alias("ingestion_timestamp"),
-        "violations",
+        broken.alias("violations"),
     )
 
 
 def violations(shaped: DataFrame) -> DataFrame:
     """Broken rules and how many rows break each; empty for a loadable batch."""
     return (
-        shaped.select(F.explode("violations").alias("rule"))
+        shaped.filter(F.col("violations") != "")
+        .select(F.explode(F.split("violations", ",")).alias("rule"))
         .groupBy("rule")
         .agg(F.count(F.lit(1)).alias("rows"))
     )

@@ -46,8 +46,9 @@ def read_raw(spark: SparkSession, root: str, parts=None) -> DataFrame:
     return tables.read(spark, root, RAW, parts, PARTITION).select(*RAW.names)
 
 
-def check_complete(pages: DataFrame) -> None:
-    broken = page_source.completeness(pages).filter(~F.col("complete")).limit(5).collect()
+def check_complete(batch: DataFrame) -> None:
+    flags = page_source.page_flags(batch)
+    broken = page_source.completeness(flags).filter(~F.col("complete")).limit(5).collect()
     if broken:
         raise IncompletePull(", ".join(f"{r.window_start}..{r.window_end}" for r in broken))
 
@@ -68,8 +69,6 @@ def load_pages(
     The shaped batch is written once to shared scratch: the JSON is parsed a
     single time, and losing an executor later does not parse it again.
     """
-    if require_complete:
-        check_complete(pages)
     work = scratch(spark, "load")
     shaped = shape(page_source.events(pages), default_source)
     shaped.write.parquet(f"{work}/batch")
@@ -77,8 +76,11 @@ def load_pages(
     broken = {row.rule: row.rows for row in violations(batch).collect()}
     if broken:
         raise LoadRejected(broken)
+    if require_complete:
+        check_complete(batch)
+    rows = batch.filter(page_source.is_event())
     return load_rows(
-        spark, batch, root, order=page_source.ORDER, load_ts=load_ts, update=update, notes=notes
+        spark, rows, root, order=page_source.ORDER, load_ts=load_ts, update=update, notes=notes
     )
 
 

@@ -7,7 +7,7 @@ billions of events should land as a table with many documents per file
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_FILE = r"(\d+)\.json$"
@@ -75,25 +75,37 @@ def decode(pages: DataFrame) -> DataFrame:
 
 
 def events(pages: DataFrame) -> DataFrame:
-    """One row per event in delivery order; a bad page gives one row with ``page_ok`` false."""
-    bad = F.expr("array(cast(null as variant))")
-    good = F.expr("coalesce(data, cast(array() as array<variant>))")
-    return (
-        decode(pages)
-        .withColumn("data", F.when(F.col("page_ok"), good).otherwise(bad))
-        .select(
-            "window_start",
-            "window_end",
-            "page",
-            "page_ok",
-            F.posexplode("data").alias("pos", "event"),
-        )
+    """One row per event in delivery order.
+
+    An empty page gives one row without ``pos`` so that it still counts as
+    delivered; a bad page gives one row with ``page_ok`` false.
+    """
+    # The outer form: for the inner one Catalyst adds a not-empty filter that parses again.
+    return decode(pages).select(
+        "window_start",
+        "window_end",
+        "page",
+        "page_ok",
+        "has_more",
+        F.posexplode_outer("data").alias("pos", "event"),
     )
 
 
-def completeness(pages: DataFrame) -> DataFrame:
-    """Per window: are the pages 1..n there once each, and does only page n say it is the last?"""
-    flags = decode(pages).select("window_start", "window_end", "page", "has_more")
+def is_event() -> Column:
+    return F.col("pos").isNotNull()
+
+
+def page_flags(rows: DataFrame) -> DataFrame:
+    """One row per page document from rows of ``events`` or of the shaped batch."""
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    return rows.filter(first).select("window_start", "window_end", "page", "has_more")
+
+
+def completeness(flags: DataFrame) -> DataFrame:
+    """Per window: are the pages 1..n there once each, and does only page n say it is the last?
+
+    ``flags`` has one row per page document, from ``page_flags`` or ``decode``.
+    """
     per_page = flags.groupBy("window_start", "window_end", "page").agg(
         F.count(F.lit(1)).alias("copies"), F.bool_or("has_more").alias("has_more")
     )

@@ -116,7 +116,8 @@ def raw_shape(spark, sf_dir):
 
 
 def page_completeness(spark, sf_dir):
-    return pages.completeness(_landed(fixture.broken_pulls(spark, sf_dir)))
+    arrived = _landed(fixture.broken_pulls(spark, sf_dir))
+    return pages.completeness(pages.page_flags(pages.events(arrived)))
 
 
 def load_violations(spark, sf_dir):
