@@ -186,9 +186,6 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     A page has one or two events whatever the data, so no group has to be
     collected to build it. Every fifth event gives an explicit null source.
     """
-    rows = _texts(spark, sf_dir)
-    first = _json()
-    given = f"if(n % 5 = 1, concat(left({first}, length({first}) - 1), ',\"source_api\":null}}'), {first})"
     correction = _json(
         device_id="concat('device_', user + 1)",
         event_type="'error'",
@@ -196,8 +193,14 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         city="concat('city_', n)",
         metric_value="cast(n as decimal(18,2))",
     )
-    both = f"concat({given}, if(n % 3 = 0, concat(',', {correction}), ''))"
-    return _place(rows, _document(both, f"n % {WINDOW} < {WINDOW - 1}"), f"n % {WINDOW} + 1")
+    with_null = "concat(left(sent, length(sent) - 1), ',\"source_api\":null}')"
+    rows = (
+        _texts(spark, sf_dir)
+        .withColumns({"sent": F.expr(_json()), "fixed": F.expr(correction)})
+        .withColumn("sent", F.expr(f"if(n % 5 = 1, {with_null}, sent)"))
+        .withColumn("sent", F.expr("if(n % 3 = 0, concat(sent, ',', fixed), sent)"))
+    )
+    return _place(rows, _document("sent", f"n % {WINDOW} < {WINDOW - 1}"), f"n % {WINDOW} + 1")
 
 
 def broken_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +208,8 @@ def broken_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _texts(spark, sf_dir)
     more = f"n % {WINDOW} < {WINDOW - 1} or (n div {WINDOW}) % 4 = 3"
     page = f"n % {WINDOW} + if((n div {WINDOW}) % 4 = 2, 2, 1)"
-    return _place(rows, _document(_json(), more), page)
+    rows = rows.withColumn("sent", F.expr(_json()))
+    return _place(rows, _document("sent", more), page)
 
 
 def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +224,8 @@ def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_api="case when n % 97 = 0 then repeat('s', 101) else source_api end",
     )
     listed = f"if(n % 101 = 0, '\"text\"', {event})"
-    document = _document(listed, f"n % {WINDOW} < {WINDOW - 1}")
-    cut = f"if(n % 103 = 0, left({document}, length({document}) - 2), {document})"
+    rows = rows.withColumn("sent", F.expr(listed)).withColumn(
+        "document", F.expr(_document("sent", f"n % {WINDOW} < {WINDOW - 1}"))
+    )
+    cut = "if(n % 103 = 0, left(document, length(document) - 2), document)"
     return _place(rows, cut, f"n % {WINDOW} + 1")
