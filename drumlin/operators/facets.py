@@ -1,12 +1,18 @@
-"""Distinct counts and modes of several columns in one pass, without per-group state.
+"""Distinct counts and modes of several columns, without per-group state.
 
 ``count(distinct)`` and ``mode`` in one aggregate keep a set or map per group,
 so a group with a third of all rows and as many sessions would have to fit in
-one task. Here each event becomes one narrow row per facet (session, user,
-model, system, country), counted by grain, facet and value. That aggregation
-keeps fixed-width buffers, combines before its shuffle, and spreads a hot
-group over its values. The second aggregation, again combined before the
-shuffle, folds the values of a grain into its counts and modes.
+one task. Here three aggregations follow each other, all combining before
+their shuffle and all but the last with fixed-width buffers:
+
+1. events of equal grain, session, user and attributes become one row;
+2. each such row becomes one narrow row per facet (session, user, model,
+   system, country), and these are summed by grain, facet and value, which
+   spreads a hot group over its values;
+3. the values of a grain are folded into its counts and modes.
+
+The first step costs one shuffle and saves five rows for every event that
+repeats a combination elsewhere in the table.
 """
 
 from __future__ import annotations
@@ -19,38 +25,51 @@ from pyspark.sql import functions as F
 # Facet 0 also carries the measures, and so keeps its NULL values.
 FACETS = ("session_id", "user_id", "device_model", "os_version", "country")
 MEASURES = {
-    "event_timestamp": "timestamp",
-    "duration_ms": "int",
-    "metric_value": "decimal(38,18)",
+    "first_time": "timestamp",
+    "last_time": "timestamp",
+    "duration_sum": "bigint",
+    "duration_count": "bigint",
+    "metric_sum": "decimal(38,18)",
+    "metric_count": "bigint",
 }
 
 
-def _facet_rows(rows: DataFrame, grain: Sequence[str]) -> DataFrame:
+def combinations(rows: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """Events and measures per grain and combination of facet values."""
+    return rows.groupBy(*grain, *FACETS).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.min("event_timestamp").alias("first_time"),
+        F.max("event_timestamp").alias("last_time"),
+        F.sum("duration_ms").alias("duration_sum"),
+        F.count("duration_ms").alias("duration_count"),
+        F.sum("metric_value").alias("metric_sum"),
+        F.count("metric_value").alias("metric_count"),
+    )
+
+
+def _facet_rows(combined: DataFrame, grain: Sequence[str]) -> DataFrame:
     def entry(number: int, column: str) -> Column:
         measures = [
-            (F.col(name) if number == 0 else F.lit(None).cast(kind)).alias(name)
+            (F.col(name) if number == 0 else F.lit(None)).cast(kind).alias(name)
             for name, kind in MEASURES.items()
         ]
         return F.struct(F.lit(number).alias("facet"), F.col(column).alias("value"), *measures)
 
     entries = F.array(*[entry(number, column) for number, column in enumerate(FACETS)])
-    exploded = rows.select(*grain, F.inline(entries))
+    exploded = combined.select(*grain, "events", F.inline(entries))
     return exploded.filter((F.col("facet") == 0) | F.col("value").isNotNull())
 
 
 def value_counts(rows: DataFrame, grain: Sequence[str]) -> DataFrame:
     """One row per grain, facet and value, with the measures on facet 0."""
+    sums = ("events", "duration_sum", "duration_count", "metric_sum", "metric_count")
     return (
-        _facet_rows(rows, grain)
+        _facet_rows(combinations(rows, grain), grain)
         .groupBy(*grain, "facet", "value")
         .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.min("event_timestamp").alias("first_time"),
-            F.max("event_timestamp").alias("last_time"),
-            F.sum("duration_ms").alias("duration_sum"),
-            F.count("duration_ms").alias("duration_count"),
-            F.sum("metric_value").alias("metric_sum"),
-            F.count("metric_value").alias("metric_count"),
+            F.min("first_time").alias("first_time"),
+            F.max("last_time").alias("last_time"),
+            *[F.sum(name).alias(name) for name in sums],
         )
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from drumlin.contract import EARLIEST, RAW
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import UPDATE, collapse, new_value
-from drumlin.session import scratch
+from drumlin.session import discard, scratch, write_scratch
 from drumlin.sources import pages as page_source
 from drumlin.sources import tables
 
@@ -70,18 +70,25 @@ def load_pages(
     single time, and losing an executor later does not parse it again.
     """
     work = scratch(spark, "load")
-    shaped = shape(page_source.events(pages), default_source)
-    shaped.write.parquet(f"{work}/batch")
-    batch = spark.read.parquet(f"{work}/batch")
-    broken = {row.rule: row.rows for row in violations(batch).collect()}
-    if broken:
-        raise LoadRejected(broken)
-    if require_complete:
-        check_complete(batch)
-    rows = batch.filter(page_source.is_event())
-    return load_rows(
-        spark, rows, root, order=page_source.ORDER, load_ts=load_ts, update=update, notes=notes
-    )
+    try:
+        shaped = shape(page_source.events(pages), default_source)
+        batch = write_scratch(shaped, f"{work}/batch")
+        broken = {row.rule: row.rows for row in violations(batch).collect()}
+        if broken:
+            raise LoadRejected(broken)
+        if require_complete:
+            check_complete(batch)
+        return load_rows(
+            batch.sparkSession,
+            batch.filter(page_source.is_event()),
+            root,
+            order=page_source.ORDER,
+            load_ts=load_ts,
+            update=update,
+            notes=notes,
+        )
+    finally:
+        discard(spark, work)
 
 
 def load_rows(
@@ -101,7 +108,6 @@ def load_rows(
     range are skipped. Everything after that reads the staged changes and the
     touched partitions.
     """
-    work = scratch(spark, "upsert")
     before = tables.latest(spark, root)
     target = tables.read(spark, root, RAW, before.parts, PARTITION)
     columns = [c for c in RAW.names if c not in (KEY, "created_at")]
@@ -122,9 +128,26 @@ def load_rows(
                 "old_timestamp": F.lit(None).cast("timestamp"),
             }
         )
-    changes.write.parquet(f"{work}/changes")
-    changes = spark.read.parquet(f"{work}/changes")
+    work = scratch(spark, "upsert")
+    try:
+        staged = write_scratch(changes, work)
+        return _apply(spark, staged, target, before, root, load_ts, update, notes)
+    finally:
+        discard(spark, work)
+
 
+def _apply(
+    spark: SparkSession,
+    changes: DataFrame,
+    target: DataFrame,
+    before: tables.Version,
+    root: str,
+    load_ts,
+    update: Sequence[str],
+    notes: dict[str, str] | None,
+) -> LoadSummary:
+    """Write and publish the staged changes."""
+    columns = [c for c in RAW.names if c not in (KEY, "created_at")]
     is_new = F.col(PARTITION).isNull()
     counts = changes.agg(
         F.sum("rows").alias("input_rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Day boundaries are UTC, bad numbers raise, and the last of two equal JSON keys wins.
 SETTINGS = {
@@ -33,3 +33,31 @@ def scratch(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="drumlin-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+SHREDDING = "spark.sql.variant.writeShredding.enabled"
+
+
+def write_scratch(df: DataFrame, path: str) -> DataFrame:
+    """Write rows to shared scratch and read them back: the work before is not repeated.
+
+    Scratch keeps VARIANT columns whole. Splitting them into typed columns, as
+    the tables do, pays off for readers of single keys, of which scratch has none.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(SHREDDING, None)
+    spark.conf.set(SHREDDING, "false")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHREDDING)
+        else:
+            spark.conf.set(SHREDDING, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -117,9 +117,29 @@ def replace_parts(old, new, values) -> list[tuple[str, str]]:
     return [part for part in old if part[0] not in values] + list(new)
 
 
+def remove_unused(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete folders that none of the newest ``keep`` versions names; returns their names.
+
+    For the time between two writers: a running one's folders are not published yet.
+    """
+    newest = versions_since(spark, root, latest(spark, root).version - keep)
+    used = {folder for version in newest for _, folder in version.parts}
+    data = f"{root}/data"
+    unused = []
+    for run in _folders(spark, data):
+        parts = [f"{run}/{name}" for name in _folders(spark, f"{data}/{run}")] or [run]
+        idle = [name for name in parts if name not in used]
+        unused += [run] if idle == parts else idle
+    for name in unused:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{data}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return unused
+
+
 def create_if_absent(spark: SparkSession, root: str) -> Version:
     """Publish an empty table unless there is one."""
-    return latest(spark, root) if latest(spark, root).version else publish(spark, root, [])
+    found = latest(spark, root)
+    return found if found.version else publish(spark, root, [])
 
 
 def date_values(df: DataFrame, column: str) -> list[str]:

@@ -96,3 +96,24 @@ def test_unfinished_version_is_ignored(spark, folder):
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     assert tables.latest(spark, folder).version == 1
     assert read_raw(spark, folder).count() == 1
+
+
+def test_remove_unused(spark, folder):
+    for step in range(4):
+        load(spark, folder, [event("a", x=step), event(f"n{step}")])
+    before = shown(read_raw(spark, folder))
+    assert len(tables.remove_unused(spark, folder)) == 2
+    assert tables.remove_unused(spark, folder) == []
+    assert shown(read_raw(spark, folder)) == before
+    assert len(before) == 5
+
+
+def test_scratch_is_left_empty(spark, folder):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    load(spark, folder, [event("a")])
+    with pytest.raises(LoadRejected):
+        load(spark, folder, [event(device_id=None)])
+    assert set(shared.iterdir()) == before

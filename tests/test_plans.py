@@ -39,7 +39,7 @@ def stored(spark, tmp_path_factory):
 
 def test_fact(stored):
     text = plan(fact_daily(stage(stored, AS_OF), AS_OF))
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 3
     for slow in ("Expand", "ObjectHashAggregate", "Python", "collect_set", "Join"):
         assert slow not in text
     # Only the keys the fact needs leave the file, and the time bounds reach the scan.
