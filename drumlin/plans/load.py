@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from drumlin.contract import EARLIEST, RAW
 from drumlin.operators.shape import shape, violations
@@ -103,10 +104,10 @@ def load_rows(
 ) -> LoadSummary:
     """Upsert checked raw rows, rewriting only the partitions that hold a matched key.
 
-    Matched keys are found by reading the table's key column alone, limited to
-    the batch's key range; files are sorted by key, so row groups outside the
-    range are skipped. Everything after that reads the staged changes and the
-    touched partitions.
+    Matched keys are found by reading the table's narrow columns, limited to the
+    batch's key range; files are sorted by key, so row groups outside the range
+    are skipped. The staged changes then hold whole new rows, and the touched
+    partitions are only filtered by key: their payloads never join anything.
     """
     before = tables.latest(spark, root)
     target = tables.read(spark, root, RAW, before.parts, PARTITION)
@@ -118,14 +119,21 @@ def load_rows(
     changes = collapse(batch, KEY, columns, update, order)
     if before.parts:
         near = target.filter(F.col(KEY).between(low, high))
-        known = near.select(KEY, PARTITION, F.col("timestamp").alias("old_timestamp"))
+        known = near.select(
+            KEY,
+            PARTITION,
+            F.col("timestamp").alias("old_timestamp"),
+            F.struct(*_kept_columns(update)).alias("kept"),
+        )
         hits = known.join(batch.select(KEY).distinct(), KEY, "left_semi")
         changes = changes.join(hits, KEY, "left")
     else:
+        kept = T.StructType([RAW[name] for name in _kept_columns(update)])
         changes = changes.withColumns(
             {
                 PARTITION: F.lit(None).cast("date"),
                 "old_timestamp": F.lit(None).cast("timestamp"),
+                "kept": F.lit(None).cast(kept),
             }
         )
     work = scratch(spark, "upsert")
@@ -136,6 +144,12 @@ def load_rows(
         discard(spark, work)
 
 
+def _kept_columns(update: Sequence[str]) -> list[str]:
+    """What a matched row keeps of its old self."""
+    kept = [c for c in RAW.names if c != KEY and c not in update]
+    return kept if update else ["created_at"]
+
+
 def _apply(
     spark: SparkSession,
     changes: DataFrame,
@@ -157,29 +171,22 @@ def _apply(
     touched = tables.date_values(changes.filter(~is_new), PARTITION) if update else []
 
     load_time = F.lit(load_ts).cast("timestamp")
-    inserts = changes.filter(is_new).select(
+
+    def value(name: str) -> Column:
+        if name in update or not update:  # without updates only new keys are written
+            return new_value(name, update)
+        return F.when(is_new, new_value(name, update)).otherwise(F.col(f"kept.{name}"))
+
+    written = (changes if update else changes.filter(is_new)).select(
         KEY,
-        *[new_value(c, update).alias(c) for c in columns],
-        load_time.alias("created_at"),
-        F.to_date(load_time).alias(PARTITION),
+        *[value(name).alias(name) for name in columns],
+        F.coalesce("kept.created_at", load_time).alias("created_at"),
+        F.coalesce(PARTITION, F.to_date(load_time)).alias(PARTITION),
     )
-    written = inserts
     if touched:
-        hit = F.col("updates").isNotNull()
         old = target.filter(F.col(PARTITION).isin(*[F.lit(d).cast("date") for d in touched]))
-        updates = changes.filter(~is_new).select(KEY, "updates")
-        rewritten = old.join(updates, KEY, "left").select(
-            KEY,
-            *[
-                F.when(hit, new_value(c, update)).otherwise(F.col(c)).alias(c)
-                if c in update
-                else F.col(c)
-                for c in columns
-            ],
-            "created_at",
-            PARTITION,
-        )
-        written = rewritten.unionByName(inserts)
+        changed = changes.filter(~is_new).select(KEY)
+        written = old.join(changed, KEY, "left_anti").unionByName(written)
     new_parts = tables.write(written, root, PARTITION, KEY)
 
     dates = _touched_dates(changes, update)
@@ -188,6 +195,7 @@ def _apply(
         root,
         tables.replace_parts(before.parts, new_parts, touched),
         {**before.notes, **(notes or {}), "touched": ",".join(dates)},
+        base=before,
     )
     updated = counts.distinct_keys - counts.inserted if update else 0
     return LoadSummary(

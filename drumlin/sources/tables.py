@@ -103,9 +103,26 @@ def write(
     return [(name[len(prefix) :], f"{run}/{name}") for name in names]
 
 
-def publish(spark: SparkSession, root: str, parts, notes: dict[str, str] | None = None) -> Version:
-    """Make ``parts`` the table. Fails if another writer took the version number."""
-    after = Version(latest(spark, root).version + 1, tuple(sorted(parts)), dict(notes or {}))
+class Outdated(RuntimeError):
+    """Another writer published since this one read the table."""
+
+
+def publish(
+    spark: SparkSession,
+    root: str,
+    parts,
+    notes: dict[str, str] | None = None,
+    base: Version | None = None,
+) -> Version:
+    """Make ``parts`` the table, provided ``base`` (if given) is still its newest version.
+
+    The number follows that of every version folder, also of a writer that died
+    halfway. Two writers that choose the same number cannot both succeed.
+    """
+    if base is not None and latest(spark, root).version != base.version:
+        raise Outdated(f"{root} is past version {base.version}")
+    taken = [int(name) for name in _folders(spark, f"{root}/versions") if name.isdigit()]
+    after = Version(max(taken, default=0) + 1, tuple(sorted(parts)), dict(notes or {}))
     row = spark.createDataFrame([(after.version, list(after.parts), after.notes)], VERSION)
     row.coalesce(1).write.mode("error").json(f"{root}/versions/{after.version:012d}")
     return after

@@ -96,6 +96,11 @@ def test_unfinished_version_is_ignored(spark, folder):
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     assert tables.latest(spark, folder).version == 1
     assert read_raw(spark, folder).count() == 1
+    base = tables.latest(spark, folder)
+    load(spark, folder, [event("b")])  # goes past the dead writer's number
+    assert tables.latest(spark, folder).version == 3
+    with pytest.raises(tables.Outdated):
+        tables.publish(spark, folder, base.parts, base=base)
 
 
 def test_remove_unused(spark, folder):
