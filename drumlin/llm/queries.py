@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, langid
+from drumlin.llm import bpe, langid, quality
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -17,12 +17,17 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
+    "op3_quality": op3_quality,
     "op6_bpe": op6_bpe,
 }
 
