@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Python counts these as white space, Unicode doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Pieces a worker remembers at once.
-MEMO = 500_000
+#: Pieces, and words, that a worker remembers at once.
+MEMO = 250_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -132,14 +133,14 @@ class Merges:
         """Packed ids of each word (in byte letters), sharing the work on common prefixes."""
         out: dict[str, bytes] = {}
         seams, adjacent = self.seams, self.adjacent
-        last, ids, states = [0], [b""], [self.state("")]  # of each prefix of the path, by length
+        room = max(map(len, words), default=0) + 1
+        last, ids, states = [0] * room, [b""] * room, [self.state("")] * room  # of each prefix of the path, by length
         path = ""
         for word in sorted(words):  # depth-first order of the trie
             body = len(word) - 1
             same, most = 0, min(len(path), body)
             while same < most and path[same] == word[same]:
                 same += 1
-            del last[same + 1 :], ids[same + 1 :], states[same + 1 :]
             state = states[same]
             for end in range(same, body + 1):
                 letter = word[end]
@@ -157,9 +158,9 @@ class Merges:
                 else:
                     raise ValueError(f"no token of the vocabulary ends {word[: end + 1]!r}")
                 if end < body:
-                    last.append(token)
-                    ids.append(ids[start] + raw)
-                    states.append(state)
+                    last[end + 1] = token
+                    ids[end + 1] = ids[start] + raw
+                    states[end + 1] = state
                 else:
                     out[word] = ids[start] + raw
             path = word[:body]
@@ -175,55 +176,69 @@ class Encoder:
         self.memo: dict[str, bytes] = {}  # by piece
         self.known: dict[str, bytes] = {}  # by word
 
-    def words(self, piece: str) -> list[str | int]:
+    def letters(self, word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word
+        return word.encode().decode("latin-1").translate(self.merges.letters)
+
+    def pieces(self, text: str) -> list[str]:
+        """Parts between white space, normalised; those with special strings as they are."""
+        if self.cut and "<|" in text:
+            found = []
+            for piece in SPACE.split(text):
+                found += [piece] if self.cut.search(piece) else [normal(piece)]
+            return found
+        text = normal(text)
+        return SPACE.split(text) if ODD_SPACE.search(text) else text.split()
+
+    def plan(self, piece: str) -> list[str | int]:
         """Words in byte letters and ids of special strings, in order."""
         out: list[str | int] = []
-        parts = self.cut.split(piece) if self.cut and "<|" in piece else [piece]
-        for part in parts:
-            if not part:
-                continue
+        for part in self.cut.split(piece) if self.cut and "<|" in piece else [piece]:
             if part in self.merges.special:
                 out.append(self.merges.special[part])
-                continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            part = part.lower()
-            if part.isalpha():
-                words = [part]
-            elif part[-1] in ".," and part[:-1].isalpha():
-                words = [part[:-1], part[-1]]
             else:
-                words = PIECES.findall(part)
-            for word in words:
-                out.append(word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.merges.letters))
+                out += map(self.letters, PIECES.findall(normal(part)))
         return out
 
     def learn(self, pieces: set[str]) -> None:
+        if len(self.memo) + len(pieces) > MEMO:
+            self.memo = {x: self.memo[x] for x in pieces & self.memo.keys()}
         new = pieces - self.memo.keys()
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = pieces
-        plans = {piece: self.words(piece) for piece in new}
+        plans: dict[str, list[str | int]] = {}
+        for piece in new:
+            if piece.isalpha():
+                plans[piece] = [self.letters(piece)]
+            elif piece[-1:] in (".", ",") and piece[:-1].isalpha():
+                plans[piece] = [self.letters(piece[:-1]), piece[-1]]
+            else:
+                plans[piece] = self.plan(piece)
         words = {w for plan in plans.values() for w in plan if isinstance(w, str)}
         if len(self.known) + len(words) > MEMO:
-            self.known.clear()
+            self.known = {x: self.known[x] for x in words & self.known.keys()}
         self.known |= self.merges.encode(words - self.known.keys())
-        known = self.known
+        known, memo = self.known, self.memo
         for piece, plan in plans.items():
             if len(plan) == 1 and isinstance(plan[0], str):
-                self.memo[piece] = known[plan[0]]
+                memo[piece] = known[plan[0]]
             else:
-                self.memo[piece] = b"".join(known[w] if isinstance(w, str) else packed(w) for w in plan)
+                memo[piece] = b"".join(known[w] if isinstance(w, str) else packed(w) for w in plan)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of all texts."""
-        cut = [SPACE.split(x) if ODD_SPACE.search(x) else x.split() for x in texts]
-        self.learn(set(chain.from_iterable(cut)) | {""})
+        cut = [self.pieces(x) for x in texts]
+        self.learn(set(chain.from_iterable(cut)))
         values = [b"".join(map(self.memo.__getitem__, pieces)) for pieces in cut]
         offsets = np.cumsum([0, *(len(x) // 4 for x in values)])
         return offsets, np.frombuffer(b"".join(values), "<i4")
 
 
+def normal(text: str) -> str:
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 
@@ -258,6 +273,12 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text)).mapInArrow(run, schema)
 
 
+def list_offsets(lists: pa.ListArray) -> pa.Array:
+    """Offsets into lists.flatten(); a null list is an empty one."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+
+
 def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", text: str = "text") -> DataFrame:
     """The rows with the text of ``ids`` beside them: the tokens' names joined by one space, as
     the vocabulary file names no decoder. Null ids give the empty text."""
@@ -267,15 +288,15 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", text: str =
     schema = T.StructType([encoded.schema[c] for c in keep] + [T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = None
+        spec = json.loads(content.value)
+        known = {i: x for x, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
+        names = pa.array([known.get(i, "") for i in range(max(known) + 1)])
         for whole in batches:
-            if names is None:
-                known = _encoder(content.value).merges.names()
-                names = [known.get(i, "") for i in range(max(known) + 1)]
             for batch in _slices(whole, 2000):
-                texts = [" ".join(map(names.__getitem__, x.as_py() or ())) for x in batch.column(at)]
-                arrays = [batch.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string())], names=[*keep, text])
+                lists = batch.column(at)
+                tokens = pa.ListArray.from_arrays(list_offsets(lists), names.take(lists.flatten()))
+                texts = pc.binary_join(tokens, " ")
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*keep, text])
 
     return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
