@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, langid, quality
+from drumlin.llm import bpe, chat, langid, mixing, quality
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -35,13 +35,75 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.registered(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return drawn.select("doc_id", "lang", "source", "epoch")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
+    "op8_mixing": op8_mixing,
 }
 
+def _dealt(level: str, above: str, weight: str, held: str) -> str:
+    """Shares of a level: its nodes fill up in order of capacity over weight."""
+    keys = f"{above}, {level}" if above else level
+    on = " and ".join(f"n.{c} is not distinct from h.{c}" for c in above.split(", ")) if above else "true"
+    part = f"partition by {above}" if above else ""
+    return f"""
+{level}_nodes as (
+  select n.*, h.share budget from (
+    select {keys}, cast(sum(held) * 2 as hugeint) capacity, cast({weight} as hugeint) weight from leaves group by {keys}
+  ) n join {held} h on {on}
+), {level}_left as (
+  select *, budget - coalesce(sum(capacity) over (w rows between unbounded preceding and 1 preceding), 0) remaining,
+    sum(weight) over (w rows between current row and unbounded following) weights
+  from {level}_nodes window w as ({part} order by capacity / weight, {level} nulls first)
+), {level}_room as (
+  select *, cast(remaining as hugeint) * weight <= capacity * cast(weights as hugeint) room from {level}_left
+), {level}_cut as (
+  select *, first_value(case when room then remaining end ignore nulls) over w cut_left,
+    first_value(case when room then weights end ignore nulls) over w cut_weights
+  from {level}_room
+  window w as ({part} order by capacity / weight, {level} nulls first rows between unbounded preceding and unbounded following)
+), {level}_share as (
+  select {keys}, case when room then cast(cut_left as hugeint) * weight // cast(cut_weights as hugeint) else capacity end share
+  from {level}_cut
+)"""
+
+
+BOOKS = "source in ('src1', 'src2', 'src3', 'src4', 'src5', 'src6')"
+MIXED = f"""
+with held as (
+  select *, case when {BOOKS} then 'books' else 'web' end domain,
+    coalesce((strlen(text) + 3) // 4, 0) tokens from {{documents}}
+), leaves as (
+  select domain, lang, source, sum(tokens) held from held group by all
+), top as (
+  select least(sum(held) * 3 // 4, sum(held) * 2) share from leaves
+),{_dealt("domain", "", "case when domain = 'books' then 40 else 60 end", "top")},
+{_dealt("lang", "domain", "case when lang = 'en' then 2 else 1 end", "domain_share")},
+{_dealt("source", "domain, lang", "1", "lang_share")},
+plan as (
+  select l.*, cast(case when held > 0 then share // held else 0 end as integer) whole,
+    share - case when held > 0 then share // held else 0 end * held rest
+  from leaves l join source_share s on l.domain = s.domain
+    and l.lang is not distinct from s.lang and l.source is not distinct from s.source
+), placed as (
+  select h.*, whole, rest, md5('11:' || whole || ':' || coalesce(cast(doc_id as varchar), '')) place
+  from held h join plan p on h.domain = p.domain
+    and h.lang is not distinct from p.lang and h.source is not distinct from p.source
+), summed as (
+  select *, sum(tokens) over (partition by domain, lang, source order by place, doc_id nulls first, tokens) upto from placed
+), reading as (
+  select *, whole + case when rest > 0 and upto <= rest then 1 else 0 end n from summed
+)
+select {{columns}} from (select *, cast(unnest(range(n)) as integer) epoch from reading where n > 0)
+"""
+
 ORACLE: dict[str, str] = {
     "op5_chat": f"""
 with rows as (
@@ -71,4 +133,5 @@ select conv_id, cast(count(*) as bigint) n_turns,
     + coalesce(sum(chars) filter (lead), 0) * (count(distinct begin_at // 1792) - 1) as bigint) formatted_chars
 from counted group by conv_id
 """,
+    "op8_mixing": MIXED.format(columns="doc_id, lang, source, epoch", documents="documents"),
 }
