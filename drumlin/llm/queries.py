@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, langid, mixing, quality
+from drumlin.llm import bpe, chat, langid, mixing, quality, topk
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -40,12 +40,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "lang", "source", "epoch")
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.registered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
     "op8_mixing": op8_mixing,
+    "op10_topk": op10_topk,
 }
 
 def _dealt(level: str, above: str, weight: str, held: str) -> str:
@@ -132,6 +137,23 @@ select conv_id, cast(count(*) as bigint) n_turns,
   cast(sum(case when again then 2 * chars else chars end)
     + coalesce(sum(chars) filter (lead), 0) * (count(distinct begin_at // 1792) - 1) as bigint) formatted_chars
 from counted group by conv_id
+""",
+    "op10_topk": """
+with vectors as (
+  select row_number() over () n, vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and coalesce(list_bool_and([x is not null and isfinite(x) for x in embedding]), true)
+), parts as (
+  select n, vec_id, len(v) dim, generate_subscripts(v, 1) i, unnest(v) x from vectors
+), scores as (
+  select q.n, q.vec_id query_id, c.n m, c.vec_id, cast(sum(q.x * c.x) as bigint) score
+  from parts q join parts c on q.i = c.i and q.dim = c.dim and q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0 group by all
+), ranked as (
+  select *, row_number() over (partition by n order by score desc, vec_id) rank from scores
+)
+select query_id, cast(rank as integer) rank, vec_id, score from ranked where rank <= 5
 """,
     "op8_mixing": MIXED.format(columns="doc_id, lang, source, epoch", documents="documents"),
 }
