@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, langid, mixing, quality, topk
+from drumlin.llm import bpe, chat, html, langid, mixing, quality, topk
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -40,6 +40,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "lang", "source", "epoch")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.registered(table(spark, sf_dir, "pages"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.registered(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
     "op8_mixing": op8_mixing,
+    "op9_html": op9_html,
     "op10_topk": op10_topk,
 }
 
