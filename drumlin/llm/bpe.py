@@ -203,8 +203,8 @@ class Encoder:
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.memo) + len(pieces) > MEMO:
-            self.memo = {x: self.memo[x] for x in pieces & self.memo.keys()}
-        new = pieces - self.memo.keys()
+            self.memo = {x: self.memo[x] for x in pieces if x in self.memo}
+        new = [x for x in pieces if x not in self.memo]
         plans: dict[str, list[str | int]] = {}
         for piece in new:
             if piece.isalpha():
@@ -215,8 +215,8 @@ class Encoder:
                 plans[piece] = self.plan(piece)
         words = {w for plan in plans.values() for w in plan if isinstance(w, str)}
         if len(self.known) + len(words) > MEMO:
-            self.known = {x: self.known[x] for x in words & self.known.keys()}
-        self.known |= self.merges.encode(words - self.known.keys())
+            self.known = {x: self.known[x] for x in words if x in self.known}
+        self.known |= self.merges.encode({x for x in words if x not in self.known})
         known, memo = self.known, self.memo
         for piece, plan in plans.items():
             if len(plan) == 1 and isinstance(plan[0], str):

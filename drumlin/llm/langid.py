@@ -128,11 +128,11 @@ class Scorer:
         found = words(text)
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
-        new = set(found) - self.rows.keys()
+        new = {w for w in found if w not in self.rows}
         if new:
             if len(self.rows) - len(self.known) > MEMO:
                 self.forget()
-                new = set(found) - self.rows.keys()
+                new = {w for w in found if w not in self.rows}
             self.learn(new)
         at = [self.rows[w] for w in found]
         sums = self.logs[at].sum(axis=0, dtype=np.float64)
