@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, html, langid, mixing, quality, topk
+from drumlin.llm import bpe, chat, html, langid, mixing, pii, quality, topk, toxicity
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.registered(table(spark, sf_dir, "documents"))
+
+
 #: A conversation whose texts hold the template's own control strings.
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -40,6 +44,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "lang", "source", "epoch")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.registered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.registered(table(spark, sf_dir, "pages"))
 
@@ -51,8 +59,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op5_chat": op5_chat,
     "op6_bpe": op6_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_html": op9_html,
     "op10_topk": op10_topk,
