@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, html, langid, mixing, pii, quality, topk, toxicity
+from drumlin.llm import bpe, chat, html, langid, mixing, neardup, pii, quality, topk, toxicity
 from drumlin.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.registered(table(spark, sf_dir, "documents"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neardup": op1_neardup,
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
