@@ -1,0 +1,121 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from drumlin.llm import neardup
+from tests.llm.frames import docs, rows
+
+DOCS = "doc_id long, text string"
+
+
+def text(words, changes=0, seed=0):
+    rng = random.Random(seed)
+    out = list(words)
+    for _ in range(changes):
+        out[rng.randrange(len(out))] = f"z{rng.random()}"
+    return " ".join(out)
+
+
+def brute(given):
+    """Class of each document by connected links of all pairs."""
+    bags = [neardup.bag(t or "") for _, t in given]
+    part = list(range(len(given)))
+
+    def find(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in range(len(given)):
+        for j in range(i):
+            if bags[i] and neardup.similarity(bags[i], bags[j]) >= neardup.SIMILAR:
+                part[find(i)] = find(j)
+    groups = {}
+    for i, (d, _) in enumerate(given):
+        groups.setdefault(find(i), []).append(d)
+    return {d: (min(g), len(g)) for g in groups.values() for d in g}
+
+
+def corpus():
+    random.seed(8)
+    given, n = [], 0
+    for group in range(12):
+        words = [f"w{random.randrange(400)}" for _ in range(120 + 40 * group)]
+        for k in range(8):
+            given.append((n, text(words, changes=k % 4, seed=n)))
+            n += 1
+        words += words[:60]
+        given.append((n, " ".join(words)))
+        n += 1
+    given += [(n, "short one"), (n + 1, "Short  one"), (n + 2, "other"), (n + 3, None), (n + 4, ""), (n + 5, " ")]
+    return given
+
+
+def found(spark, given):
+    return {r.doc_id: (r.class_id, r.class_size) for r in neardup.registered(spark.createDataFrame(given, DOCS)).collect()}
+
+
+def test_against_all_pairs(spark):
+    given = corpus()
+    assert found(spark, given) == brute(given)
+
+
+@pytest.mark.parametrize("tile", [4, 512])
+def test_chains_and_large_groups(spark, monkeypatch, tile):
+    """A chain of small changes, whose ends are far apart, beside many near copies."""
+    monkeypatch.setattr(neardup, "TILE", tile)
+    rng = random.Random(3)
+    words = [f"c{i}" for i in range(300)]
+    given = []
+    for i in range(25):
+        given.append((i, " ".join(words)))
+        words[rng.randrange(300)] = f"n{i}"
+        words[rng.randrange(300)] = f"m{i}"
+    base = [f"b{i}" for i in range(200)]
+    given += [(100 + i, text(base, changes=3, seed=i)) for i in range(60)]
+    given += [(300, text(base, changes=60, seed=999))]
+    assert found(spark, given) == brute(given)
+
+
+def test_signatures_estimate_the_weighted_similarity():
+    rng = random.Random(1)
+    errors = []
+    for trial in range(60):
+        words = [f"w{trial}-{i}" for i in range(60)]
+        a = words * 3 + [f"a{trial}-{i}" for i in range(rng.randrange(60))]
+        b = words * rng.randrange(1, 5) + [f"b{trial}-{i}" for i in range(rng.randrange(60))]
+        x, y = " ".join(a), " ".join(b)
+        s = neardup.signatures(2, *neardup.bags([x, y]))
+        errors.append((s[0] == s[1]).mean() - neardup.similarity(neardup.bag(x), neardup.bag(y)))
+    assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.08
+
+
+def test_bags_match_the_exact_multisets():
+    texts = ["a b c d e " * 4, "x y", "", "X y", "a b c d e f"]
+    doc, _, weight = neardup.bags(texts)
+    for i, t in enumerate(texts):
+        assert sorted(weight[doc == i]) == sorted(neardup.bag(t).values())
+    assert neardup.bag("X y") == Counter([("x", "y")])
+
+
+def test_components(spark):
+    links = [(1, 2), (3, 2), (3, 4), (10, 11), (12, 10), (7, 7)] + [(100, i) for i in range(101, 160)] + [(i, i + 1) for i in range(200, 230)]
+    got = {r.node: r.component for r in neardup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {**dict.fromkeys((1, 2, 3, 4), 1), **dict.fromkeys((10, 11, 12), 10), **dict.fromkeys(range(100, 160), 100), **dict.fromkeys(range(200, 231), 200)}
+    assert got == want
+
+
+def test_edge_cases(spark):
+    for frame in (docs(spark), docs(spark, extra=True)):
+        got = neardup.registered(frame).collect()
+        assert len(got) == len(rows())
+        by = {r.doc_id: r for r in got}
+        assert by[2].class_id == 1 and by[2].class_size == 3
+        assert by[3].class_id == 3 and by[4].class_id == 4 and by[5].class_id == 5
+        kept = neardup.deduplicate(frame)
+        assert kept.columns == frame.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 3, 4, 5, 6, 7, 8, 9, 10, None]))
+    assert neardup.registered(docs(spark, empty=True)).count() == 0
+    assert neardup.deduplicate(docs(spark, empty=True)).count() == 0
