@@ -39,3 +39,10 @@ def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int,
 def strings(values: Iterable[object]) -> list[str]:
     """Texts of a column; null becomes the empty text."""
     return [x if isinstance(x, str) else "" for x in values]
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """The name, or one like it that none of the columns has."""
+    while name in columns:
+        name += "_"
+    return name

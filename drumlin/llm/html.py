@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import staged
+from drumlin.llm.common import staged, unused
 
 #: Tokens of the shortest substring that counts as repeated.
 RUN = 8
@@ -317,16 +317,17 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "html", content(F.col("html")).alias("_key")
     ).join(known.select(F.col("key").alias("_key"), "covered"), "_key", "left")
+    marked = unused("covered", keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for page, covered in zip(batch["html"], batch["covered"], strict=True):
+            for page, covered in zip(batch["html"], batch[marked], strict=True):
                 marks = {x["no"]: set(x["at"]) for x in covered} if covered is not None else {}
                 texts.append(main_text(blocks(page) if isinstance(page, str) else [], marks))
             yield batch[keep].assign(text=texts)
 
-    flat = rows.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("html"), F.col("covered"))
+    flat = rows.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("html"), F.col("covered").alias(marked))
     return flat.mapInPandas(run, schema)
 
 
