@@ -160,6 +160,8 @@ def signed(docs: DataFrame) -> DataFrame:
                 part = texts[start:end]
                 times = signatures(len(part), *bags(part))
                 there = np.isfinite(times[:, 0]) | np.isfinite(times).any(axis=1)
+                if not there.any():
+                    continue
                 times = np.ascontiguousarray(times[there])
                 yield pd.DataFrame(
                     {
