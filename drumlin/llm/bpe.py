@@ -38,7 +38,9 @@ SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 #: Python counts these as white space, Unicode doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Pieces, and words, that a worker remembers at once.
-MEMO = 250_000
+MEMO = 120_000
+#: Pairs of tokens it remembers.
+SEAMS = 300_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -97,7 +99,7 @@ class Merges:
 
     def adjacent(self, left: int, right: int) -> bool:
         found = self.seam(self.token[left], self.token[right], float("inf"))
-        if len(self.seams) > 2_000_000:
+        if len(self.seams) > SEAMS:
             self.seams.clear()
         self.seams[left << 32 | right] = found
         return found
@@ -264,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         for whole in batches:
-            for batch in _slices(whole, 2000):
+            for batch in _slices(whole, 1000):
                 offsets, values = encoder.encode(strings(batch.column(len(keep)).to_pylist()))
                 arrays = [batch.column(i) for i in range(len(keep))]
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())))
@@ -292,7 +294,7 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", text: str =
         known = {i: x for x, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
         names = pa.array([known.get(i, "") for i in range(max(known) + 1)])
         for whole in batches:
-            for batch in _slices(whole, 2000):
+            for batch in _slices(whole, 1000):
                 lists = batch.column(at)
                 tokens = pa.ListArray.from_arrays(list_offsets(lists), names.take(lists.flatten()))
                 texts = pc.binary_join(tokens, " ")
