@@ -277,11 +277,13 @@ def boilerplate(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["host", "key", "no", "open", "text"])
 
     shards = named.groupBy("host").agg(F.ceil(F.count("*") / SHARD_PAGES).cast("int").alias("shards"))
+    shards = staged(shards.withColumnRenamed("host", "_host"), "html-hosts")
     text = named.mapInPandas(streams, "host string, key long, no int, open boolean, text string")
     dealt = (
-        text.join(shards.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"))
+        text.join(shards, F.col("host") == F.col("_host"))
         .withColumn("shard", F.pmod("key", "shards"))
         .select("host", "shard", "key", "no", "open", "text")
+        .repartition("host", "shard")  # else a join by host would leave all shards of one in a task
     )
     found = staged(
         dealt.groupBy("host", "shard").applyInPandas(_shard, "host string, mark long, low long, high long, key long, no int, at int"),
