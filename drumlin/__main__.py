@@ -7,7 +7,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +25,7 @@ def arguments(argv=None) -> argparse.Namespace:
     parser.add_argument("--start", required=True, type=datetime.fromisoformat)
     parser.add_argument("--end", required=True, type=datetime.fromisoformat)
     parser.add_argument("--source", required=True, help="source_api of events that name none")
-    parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: now, in UTC")
+    parser.add_argument("--as-of", type=datetime.fromisoformat, help="default: now; without a zone it is UTC")
     parser.add_argument(
         "--gate", choices=(daily_run.AFTER, daily_run.BEFORE), default=daily_run.AFTER
     )
@@ -41,10 +41,11 @@ def main(argv=None) -> None:
         spark,
         pages.in_window(read(spark, args.landing), args.start, args.end),
         Layout(args.root),
-        as_of=args.as_of or datetime.now(timezone.utc).replace(tzinfo=None),
+        as_of=args.as_of,
         default_source=args.source,
         gate=args.gate,
         full=args.full,
+        window=(args.start, args.end),
     )
     report.counts.show(truncate=False)
     report.results.show(50, truncate=False)

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from drumlin.contract import GRAIN
+from drumlin.functions.clock import instant
 
 
 def surrogate_key() -> Column:
@@ -22,4 +23,4 @@ def whole_days(later: str, earlier: str) -> Column:
 
 def now(as_of) -> Column:
     """The run's clock: ``as_of`` if given, else the query's start time."""
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    return F.current_timestamp() if as_of is None else instant(as_of)

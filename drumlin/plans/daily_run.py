@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drumlin.functions.clock import utc
 from drumlin.operators import quality
 from drumlin.operators.profile import row_counts
 from drumlin.plans import refresh
@@ -80,15 +81,17 @@ def daily_run(
     pages: DataFrame,
     layout: refresh.Layout,
     *,
-    as_of: datetime,
+    as_of: datetime | str | None,
     default_source: str,
     gate: str = AFTER,
     rules=quality.RULES,
     update=UPDATE,
     full: bool = False,
     require_complete: bool = True,
+    window: tuple[datetime, datetime] | None = None,
 ) -> RunReport:
-    """Safe to repeat for the same window.
+    """Safe to repeat for the same window. ``window`` is the one that was pulled: a pull of which
+    nothing landed is then told from an empty one.
 
     ``gate='after'`` publishes the marts and then tests them; ``'before'``
     publishes only marts that pass.
@@ -96,6 +99,7 @@ def daily_run(
     if gate not in (AFTER, BEFORE):
         raise ValueError(f"gate is {AFTER!r} or {BEFORE!r}, not {gate!r}")
     configure(spark)
+    as_of = utc(as_of)
     load = load_pages(
         spark,
         pages,
@@ -104,6 +108,7 @@ def daily_run(
         load_ts=as_of,
         update=update,
         require_complete=require_complete,
+        window=window,
     )
     built = refresh.build(spark, layout, as_of, full)
     if gate == AFTER:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drumlin.contract import EARLIEST, RAW
+from drumlin.functions.clock import instant, utc
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import UPDATE, collapse, new_value
 from drumlin.session import discard, scratch, write_scratch
@@ -22,15 +24,22 @@ KEY = "event_id"
 
 
 class LoadRejected(ValueError):
-    """The batch breaks rules; nothing was written. ``rules`` maps rule to row count."""
+    """The batch breaks rules; nothing was written. ``rules`` maps rule to row count; ``rejected``
+    of ``input_rows`` rows break one or more."""
 
-    def __init__(self, rules: dict[str, int]):
-        super().__init__(f"batch rejected: {rules}")
+    def __init__(self, rules: dict[str, int], input_rows: int, rejected: int):
+        super().__init__(f"batch rejected, {rejected} of {input_rows} rows: {rules}")
         self.rules = rules
+        self.input_rows = input_rows
+        self.rejected = rejected
+
+    @property
+    def error_rate(self) -> float:
+        return self.rejected / self.input_rows if self.input_rows else 0.0
 
 
 class IncompletePull(ValueError):
-    """A window's pages have gaps, copies or no last page."""
+    """A window has no page, or its pages have gaps, copies or no last page."""
 
 
 @dataclass(frozen=True)
@@ -47,11 +56,22 @@ def read_raw(spark: SparkSession, root: str, parts=None) -> DataFrame:
     return tables.read(spark, root, RAW, parts, PARTITION).select(*RAW.names)
 
 
-def check_complete(batch: DataFrame) -> None:
-    flags = page_source.page_flags(batch)
-    broken = page_source.completeness(flags).filter(~F.col("complete")).limit(5).collect()
-    if broken:
-        raise IncompletePull(", ".join(f"{r.window_start}..{r.window_end}" for r in broken))
+def check_complete(batch: DataFrame, window: tuple[datetime, datetime] | None = None) -> None:
+    """Every window that landed is complete, and so is ``window``, the one that was pulled;
+    without it, some window has to be there."""
+    found = page_source.completeness(page_source.page_flags(batch))
+    name = F.struct("window_start", "window_end")
+    expected = page_source.is_window(*window) if window else F.lit(True)
+    counts = found.agg(
+        F.count_if(expected).alias("landed"),
+        F.count_if(~F.col("complete")).alias("broken"),
+        F.min(F.when(~F.col("complete"), name)).alias("first"),
+    ).first()
+    if not counts.landed:
+        raise IncompletePull(f"no page landed for {window}" if window else "no page landed")
+    if counts.broken:
+        first = f"{counts.first.window_start}..{counts.first.window_end}"
+        raise IncompletePull(f"{counts.broken} windows are incomplete, the first is {first}")
 
 
 def load_pages(
@@ -63,9 +83,10 @@ def load_pages(
     load_ts,
     update: Sequence[str] = UPDATE,
     require_complete: bool = True,
+    window: tuple[datetime, datetime] | None = None,
     notes: dict[str, str] | None = None,
 ) -> LoadSummary:
-    """Shape, check and upsert the pages of a pull.
+    """Shape, check and upsert the pages of a pull (of ``window``, if given).
 
     The shaped batch is written once to shared scratch: the JSON is parsed a
     single time, and losing an executor later does not parse it again.
@@ -76,9 +97,10 @@ def load_pages(
         batch = write_scratch(shaped, f"{work}/batch")
         broken = {row.rule: row.rows for row in violations(batch).collect()}
         if broken:
-            raise LoadRejected(broken)
+            rows = batch.agg(F.count_if(page_source.is_event()), F.count_if(F.col("violations") != "")).first()
+            raise LoadRejected(broken, *rows)
         if require_complete:
-            check_complete(batch)
+            check_complete(batch, window)
         return load_rows(
             batch.sparkSession,
             batch.filter(page_source.is_event()),
@@ -170,7 +192,7 @@ def _apply(
     ).first()
     touched = tables.date_values(changes.filter(~is_new), PARTITION) if update else []
 
-    load_time = F.lit(load_ts).cast("timestamp")
+    load_time = instant(load_ts)
 
     def value(name: str) -> Column:
         if name in update or not update:  # without updates only new keys are written
@@ -189,12 +211,12 @@ def _apply(
         written = old.join(changed, KEY, "left_anti").unionByName(written)
     new_parts = tables.write(written, root, PARTITION, KEY)
 
-    dates = _touched_dates(changes, update)
+    dates, later = _touched_dates(changes, update, load_ts)
     tables.publish(
         spark,
         root,
         tables.replace_parts(before.parts, new_parts, touched),
-        {**before.notes, **(notes or {}), "touched": ",".join(dates)},
+        {**before.notes, **(notes or {}), "touched": ",".join(dates), "touched_later": later},
         base=before,
     )
     updated = counts.distinct_keys - counts.inserted if update else 0
@@ -203,11 +225,18 @@ def _apply(
     )
 
 
-def _touched_dates(changes: DataFrame, update: Sequence[str]) -> list[str]:
-    """Event dates of the old and new images; those before the staging window do not matter."""
+def _touched_dates(changes: DataFrame, update: Sequence[str], load_ts) -> tuple[list[str], str]:
+    """Event dates of the old and new images up to the load time, and the first one after it.
+
+    Those before the staging window do not matter. Later ones come from clocks that are wrong, and
+    may be any number: the next build looks up those that it has to produce by itself.
+    """
     is_new = F.col(PARTITION).isNull()
     changed = changes if update else changes.filter(is_new)
     new_time = new_value("timestamp", update)
     images = changed.select(F.explode(F.array("old_timestamp", new_time)).alias("event_time"))
     inside = images.filter(F.col("event_time") >= F.lit(EARLIEST).cast("timestamp"))
-    return tables.date_values(inside.select(F.to_date("event_time").alias("day")), "day")
+    days = inside.select(F.to_date("event_time").alias("day"))
+    last = F.lit(utc(load_ts).date().isoformat()).cast("date")
+    first_later = days.filter(F.col("day") > last).agg(F.min("day").cast("string")).first()[0]
+    return tables.date_values(days.filter(F.col("day") <= last), "day"), first_later or ""

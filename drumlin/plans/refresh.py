@@ -8,11 +8,14 @@ build and have come to pass. The rest of the fact is not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drumlin.contract import DEVICE_DAYS, DIMENSION, EARLIEST, FACT
+from drumlin.functions import clock
 from drumlin.plans.dimension import device_days, from_device_days
 from drumlin.plans.fact import fact_daily
 from drumlin.plans.load import read_raw
@@ -67,15 +70,30 @@ def read_devices(spark: SparkSession, layout: Layout, parts=None) -> DataFrame:
     return tables.read(spark, layout.devices, DIMENSION, parts)
 
 
+def runs_of_days(dates) -> list[tuple[date, date]]:
+    """First day of each run of consecutive days, and the day after its last."""
+    runs: list[tuple[date, date]] = []
+    for day in sorted({date.fromisoformat(d) for d in dates}):
+        after = day + timedelta(days=1)
+        if runs and runs[-1][1] == day:
+            runs[-1] = (runs[-1][0], after)
+        else:
+            runs.append((day, after))
+    return runs
+
+
 def on_dates(rows: DataFrame, column: str, dates) -> DataFrame:
-    """Rows on the given days. The range reaches the scan as a pushed filter."""
-    if not dates:
+    """Rows on the given days. One range per run of days reaches the scan as a pushed filter, so
+    two distant days do not read what lies between."""
+    parts: list[Column] = [
+        (F.col(column) >= clock.instant(f"{start}T00:00:00")) & (F.col(column) < clock.instant(f"{end}T00:00:00"))
+        for start, end in runs_of_days(dates)
+    ]
+    if not parts:
         return rows.limit(0)
-    start = F.lit(min(dates)).cast("timestamp")
-    end = F.lit(max(dates)).cast("timestamp") + F.expr("interval 1 day")
-    days = [F.lit(day).cast("date") for day in dates]
-    within = (F.col(column) >= start) & (F.col(column) < end)
-    return rows.filter(within & F.to_date(column).isin(*days))
+    while len(parts) > 1:  # pairwise, so that many runs make no deep expression
+        parts = [reduce(lambda a, b: a | b, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return rows.filter(parts[0])
 
 
 def pending_dates(spark: SparkSession, layout: Layout, raw: DataFrame, as_of) -> list[str]:
@@ -84,20 +102,27 @@ def pending_dates(spark: SparkSession, layout: Layout, raw: DataFrame, as_of) ->
     loads = tables.versions_since(spark, layout.raw, int(notes["raw_version"]))
     touched = {day for load in loads for day in load.notes.get("touched", "").split(",") if day}
     # The clock moved: events between the two run times came in, or fell out if it moved back.
-    before, after = sorted([notes["as_of"], str(as_of)])
+    before, after = sorted([clock.utc(notes["as_of"]), clock.utc(as_of)])
     time = F.col("timestamp")
-    low, high = F.lit(before).cast("timestamp"), F.lit(after).cast("timestamp")
     earliest = F.lit(EARLIEST).cast("timestamp")
-    crossed = raw.filter((time > low) & (time <= high) & (time >= earliest))
-    due = tables.date_values(crossed.select(F.to_date(time).alias("day")), "day")
-    return sorted(touched | set(due))
+    due = (time > clock.instant(before)) & (time <= clock.instant(after))
+    # A load touched days after its own time: of those, the ones a build can have produced.
+    later = {load.notes.get("touched_later", "") for load in loads} - {""}
+    plain = [date.fromisoformat(day) for day in later if not day.startswith("+")]
+    first = min(plain, default=None)
+    if first is not None and first <= after.date():
+        due |= (time >= clock.instant(f"{first}T00:00:00")) & (time <= clock.instant(after))
+        touched |= {day for day, _ in tables.latest(spark, layout.fact).parts if date.fromisoformat(day) >= first}
+    days = raw.filter(due & (time >= earliest)).select(F.to_date(time).alias("day"))
+    return sorted(touched | set(tables.date_values(days, "day")))
 
 
 def build(spark: SparkSession, layout: Layout, as_of, full: bool = False) -> Build:
     """Write new mart parts; ``publish`` makes them visible."""
+    as_of = clock.utc(as_of)
     raw_version = tables.latest(spark, layout.raw)
     raw = read_raw(spark, layout.raw, raw_version.parts)
-    notes = {"raw_version": str(raw_version.version), "as_of": str(as_of)}
+    notes = {"raw_version": str(raw_version.version), "as_of": clock.text(as_of)}
     old_fact = tables.latest(spark, layout.fact)
     old_days = tables.latest(spark, layout.device_days)
     if full or "raw_version" not in old_fact.notes:

@@ -7,9 +7,13 @@ billions of events should land as a table with many documents per file
 
 from __future__ import annotations
 
+from datetime import datetime, time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drumlin.functions.clock import utc
+
 PAGE_FILE = r"(\d+)\.json$"
 PAGES = "window_start string, window_end string, page bigint, document string"
 # The order in which the pull delivered the events.
@@ -38,11 +42,26 @@ def read_page_table(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(landing)
 
 
+def window_texts(value: datetime | str) -> list[str]:
+    """The forms in which a landing may name an instant."""
+    moment = utc(value).replace(tzinfo=None)
+    plain = {moment.isoformat(), moment.isoformat(timespec="milliseconds"), moment.isoformat(sep=" ")}
+    named = {f"{text}{zone}" for text in plain for zone in ("", "Z", "+00:00")}
+    if moment.time() == time():
+        named.add(moment.date().isoformat())
+    return sorted(named)
+
+
+def is_window(start, end) -> Column:
+    """Whether a page belongs to the window, however its landing writes the two instants."""
+    start_column, end_column = F.col("window_start"), F.col("window_end")
+    named = start_column.isin(*window_texts(start)) & end_column.isin(*window_texts(end))
+    return start_column.isNotNull() & end_column.isNotNull() & named
+
+
 def in_window(pages: DataFrame, start, end) -> DataFrame:
     """Pages of one pull window; a partition filter when the landing is laid out by window."""
-    return pages.filter(
-        (F.col("window_start") == start.isoformat()) & (F.col("window_end") == end.isoformat())
-    )
+    return pages.filter(is_window(start, end))
 
 
 def decode(pages: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drumlin.functions.clock import instant
+
 # The seed rows.
 SEED_SOURCE = "seed_data"
 SEED_STATUS = "Database initialized!"
@@ -49,5 +51,5 @@ def seed_rows(spark: SparkSession, load_ts) -> DataFrame:
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         F.parse_json("payload").alias("payload"),
         F.lit(SEED_SOURCE).alias("source_api"),
-        F.lit(load_ts).cast("timestamp").alias("ingestion_timestamp"),
+        instant(load_ts).alias("ingestion_timestamp"),
     )

@@ -44,17 +44,21 @@ def _is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def _load(spark: SparkSession, path: str) -> Version:
-    row = spark.read.schema(VERSION).json(path).first()
-    parts = tuple((part.value, part.folder) for part in row.parts)
-    return Version(row.version, parts, dict(row.notes or {}))
+def _load_all(spark: SparkSession, paths: list[str]) -> list[Version]:
+    """The versions in these folders, oldest first, by one read."""
+    rows = spark.read.schema(VERSION).json(paths).collect() if paths else []
+    found = [
+        Version(row.version, tuple((part.value, part.folder) for part in row.parts), dict(row.notes or {}))
+        for row in rows
+    ]
+    return sorted(found, key=lambda version: version.version)
 
 
 def versions_since(spark: SparkSession, root: str, after: int) -> list[Version]:
     """Published versions newer than ``after``, oldest first."""
     names = [n for n in _folders(spark, f"{root}/versions") if n.isdigit() and int(n) > after]
     paths = [f"{root}/versions/{name}" for name in names]
-    return [_load(spark, path) for path in paths if _is_complete(spark, path)]
+    return _load_all(spark, [path for path in paths if _is_complete(spark, path)])
 
 
 def latest(spark: SparkSession, root: str) -> Version:
@@ -62,7 +66,7 @@ def latest(spark: SparkSession, root: str) -> Version:
     for name in reversed(_folders(spark, f"{root}/versions")):
         path = f"{root}/versions/{name}"
         if name.isdigit() and _is_complete(spark, path):
-            return _load(spark, path)
+            return _load_all(spark, [path])[0]
     return Version()
 
 
@@ -162,8 +166,8 @@ def create_if_absent(spark: SparkSession, root: str) -> Version:
 def date_values(df: DataFrame, column: str) -> list[str]:
     """Distinct dates of a column as ISO text.
 
-    Callers pass dates bounded by the staging window or by the table's own
-    partitions, so the list stays at a few thousand entries.
+    Callers pass dates bounded on both sides, by the staging window and a run's clock, or by the
+    table's own partitions, so the list stays at a few thousand entries.
     """
     days = df.select(F.col(column).cast("string").alias("day")).distinct()
     return sorted(row.day for row in days.collect() if row.day is not None)

@@ -33,6 +33,11 @@ def page_table_stream(spark: SparkSession, landing: str, files_per_batch: int |
     return reader.parquet(landing)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when it made the checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+
+
 def load_stream(
     pages: DataFrame,
     root: str,
@@ -50,9 +55,10 @@ def load_stream(
     be spread over micro-batches, so its completeness is not checked here.
     """
     spark = configure(pages.sparkSession)
-    last_batch = LAST_BATCH.format(checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
+        # The stream's own id, which a new checkpoint at the same path does not share.
+        last_batch = LAST_BATCH.format(stream_id(spark, checkpoint))
         if number <= int(tables.latest(spark, root).notes.get(last_batch, -1)):
             return
         load_pages(
