@@ -14,10 +14,10 @@ LOADED = "2024-01-25 00:00:00"
 RELOADED = "2024-01-26 00:00:00"
 SOURCE = "https://api.example.com/telemetry"
 
-MODELS = ("iPhone 13", "iPhone 14", "Samsung S23", "Pixel 7")
-SYSTEMS = ("iOS 17", "iOS 16", "Android 14", "Android 13")
-COUNTRIES = ("Netherlands", "Germany", "France", "Belgium")
-CITIES = ("Amsterdam", "Berlin", "Paris", "Brussels")
+MODELS = ("Kite 2", "Kite 3", "Heron", "Wren Mini")
+SYSTEMS = ("os-a 4", "os-a 5", "os-b 11", "os-b 12")
+COUNTRIES = ("Chile", "Kenya", "Japan", "Iceland")
+CITIES = ("Arica", "Kisumu", "Sapporo", "Akureyri")
 EVENT_TYPES = {
     "view": "page_view",
     "click": "button_click",
@@ -47,7 +47,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"cast(ts as timestamp) - {SHIFT} as timestamp",
         f"{_pick(MODELS, 'event_id % 4')} as device_model",
         f"{_pick(SYSTEMS, '(event_id div 4) % 4')} as os_version",
-        "'2.5.1' as app_version",
+        "'7.0.3' as app_version",
         "concat('user_', user_id) as user_id",
         "concat('session_', event_id % 100) as session_id",
         f"if(event_id % 13 = 0, null, {_pick(COUNTRIES, 'user_id % 4')}) as country",
@@ -78,7 +78,7 @@ def raw(rows: DataFrame, *extra: str) -> DataFrame:
         "event_type",
         "timestamp",
         F.to_variant_object(F.struct(*PAYLOAD)).alias("payload"),
-        F.expr("if(n % 3 = 0, 'seed_data', 'mock_generator')").alias("source_api"),
+        F.expr("if(n % 3 = 0, 'seed_data', 'second_pull')").alias("source_api"),
         # Ingestion trails the event by up to ten minutes.
         (F.col("timestamp") + F.expr("make_dt_interval(0, 0, cast(n % 10 as int), 0)")).alias(
             "ingestion_timestamp"
@@ -127,7 +127,8 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once more: those of the last days corrected in place (other device, two days
-    back), all others as new events on five days of the middle of the month."""
+    back), all others as new events on five days of the middle of the month, but for a few from
+    devices whose clocks are thousands of years ahead."""
     recent = "timestamp >= timestamp'2024-01-20 00:00:00'"
     moved = "make_dt_interval(cast(n % 5 as int), cast(n % 24 as int), cast(n % 60 as int), 0)"
     rows = telemetry(spark, sf_dir).withColumns(
@@ -135,7 +136,10 @@ def late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             "device_id": F.expr(f"if({recent}, concat('device_', user + 1), device_id)"),
             "event_id": F.expr(f"if({recent}, event_id, concat('late_', n))"),
             "timestamp": F.expr(
-                f"if({recent}, timestamp - interval 2 days, timestamp'2024-01-10 00:00:00' + {moved})"
+                f"case when {recent} then timestamp - interval 2 days"
+                " when n % 97 = 5 then make_timestamp(9999, 12, 31, 23, 59, 59)"
+                " when n % 97 = 6 then make_timestamp(12024, 1, 1, 0, 0, 0)"
+                f" else timestamp'2024-01-10 00:00:00' + {moved} end"
             ),
         }
     )

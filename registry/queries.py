@@ -13,7 +13,7 @@ from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE, upsert
 from drumlin.plans import daily_run, dimension, fact, load, refresh
 from drumlin.plans.staging import stage
-from drumlin.session import scratch
+from drumlin.session import scratch, write_scratch
 from drumlin.sources import pages
 from drumlin.sources.seed import SEED_SOURCE, SEED_STATUS
 from drumlin.streaming.load import load_stream, page_table_stream
@@ -23,8 +23,9 @@ from registry.fixture import AS_OF, LOADED, RELOADED, SOURCE
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    """Types every engine can compare: zone-free timestamps and rounded doubles."""
+def _plain(df: DataFrame, run_time: bool = False) -> DataFrame:
+    """Types every engine can compare: zone-free timestamps and rounded doubles. The time of the
+    run stays if asked for: a refresh leaves that of an earlier run on the days it does not touch."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(name)
@@ -33,19 +34,21 @@ def _plain(df: DataFrame) -> DataFrame:
         elif kind.startswith("decimal") or kind == "double":
             column = F.round(column.cast("double"), 6)
         columns.append(column.alias(name))
-    return df.select(*columns).drop("dbt_updated_at")
+    plain = df.select(*columns)
+    return plain if run_time else plain.drop("dbt_updated_at")
 
 
 def _raw_columns(raw: DataFrame) -> DataFrame:
     """A raw table with its payload spelt out."""
     payload = F.col("payload")
     keys = F.map_keys(payload.cast("map<string,variant>"))
-    texts = ("device_model", "country", "city")
+    texts = [key for key in fixture.PAYLOAD if key not in ("metric_value", "duration_ms")]
     return _plain(
         raw.select(
             *[c for c in RAW.names if c != "payload"],
             *[F.variant_get(payload, f"$.{k}", "string").alias(k) for k in texts],
             F.variant_get(payload, "$.metric_value", "decimal(38,18)").alias("metric_value"),
+            F.variant_get(payload, "$.duration_ms", "int").alias("duration_ms"),
             F.array_join(F.array_sort(keys), ",").alias("payload_keys"),
         )
     )
@@ -56,7 +59,7 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(fact.fact_daily(_staged(spark, sf_dir), AS_OF))
+    return _plain(fact.fact_daily(_staged(spark, sf_dir), AS_OF), run_time=True)
 
 
 def stage_clean(spark, sf_dir):
@@ -84,7 +87,7 @@ def surrogate_keys(spark, sf_dir):
 
 
 def dim_devices(spark, sf_dir):
-    return _plain(dimension.dim_devices(_staged(spark, sf_dir), AS_OF))
+    return _plain(dimension.dim_devices(_staged(spark, sf_dir), AS_OF), run_time=True)
 
 
 def dim_latest_attributes(spark, sf_dir):
@@ -220,20 +223,68 @@ def load_batch(spark, sf_dir):
 
 
 def stream_load(spark, sf_dir):
-    """The same load as a stream over a page table."""
+    """The same load as a stream over a page table, in two calls between which pages land."""
     layout = _new_layout(spark)
     landing = f"{layout.root}/landing"
-    fixture.pages(spark, sf_dir).write.parquet(landing)
-    load_stream(
-        page_table_stream(spark, landing),
-        layout.raw,
-        f"{layout.root}/checkpoint",
-        default_source=SOURCE,
-        load_ts=LOADED,
-    )
+    arriving = fixture.pages(spark, sf_dir)
+    for part in ("page % 2 = 0", "page % 2 = 1"):
+        arriving.where(part).write.mode("append").parquet(landing)
+        load_stream(
+            page_table_stream(spark, landing),
+            layout.raw,
+            f"{layout.root}/checkpoint",
+            default_source=SOURCE,
+            load_ts=LOADED,
+        )
     return _raw_columns(load.read_raw(spark, layout.raw))
 
 
+def _load_again(update) -> Query:
+    """A second load on top of a first, as the job runs it."""
+
+    def query(spark, sf_dir):
+        layout = _new_layout(spark)
+        first = fixture.raw_table(spark, sf_dir)
+        load.load_rows(spark, first, layout.raw, order=["event_id"], load_ts=LOADED)
+        second = write_scratch(fixture.batch(spark, sf_dir), scratch(spark, "second"))
+        load.load_rows(spark, second, layout.raw, order=["n"], load_ts=RELOADED, update=update)
+        return _raw_columns(load.read_raw(spark, layout.raw))
+
+    return query
+
+
+def rejected_load(spark, sf_dir):
+    """A bad batch on top of a good table: what it says, and the table as it stays."""
+    layout = _new_layout(spark)
+    first = fixture.raw_table(spark, sf_dir)
+    load.load_rows(spark, first, layout.raw, order=["event_id"], load_ts=LOADED)
+    arrived = _landed(fixture.broken_pages(spark, sf_dir))
+    try:
+        load.load_pages(spark, arrived, layout.raw, default_source=SOURCE, load_ts=RELOADED)
+    except load.LoadRejected as rejected:
+        said = (rejected.input_rows, rejected.rejected)
+    stays = load.read_raw(spark, layout.raw).agg(F.count("*").alias("table_rows"), F.max("created_at").alias("newest"))
+    return _plain(stays.withColumns({"input_rows": F.lit(said[0]).cast("bigint"), "rejected_rows": F.lit(said[1]).cast("bigint")}))
+
+
+def gate_failed(spark, sf_dir):
+    """Runs whose tests fail: published under one gate, not under the other."""
+    found = None
+    arrived = _landed(fixture.pages(spark, sf_dir))
+    for gate in (daily_run.BEFORE, daily_run.AFTER):
+        layout = _new_layout(spark)
+        try:
+            daily_run.daily_run(
+                spark, arrived, layout, as_of=AS_OF, default_source=SOURCE, gate=gate, require_complete=False
+            )
+        except daily_run.QualityFailed as failed:
+            models = ",".join(sorted({f"{row[0]}.{row[1]}" for row in failed.failed}))
+        rows = refresh.read_fact(spark, layout).agg(F.count("*").alias("fact_rows"))
+        rows = rows.select(F.lit(gate).alias("gate"), F.lit(models).alias("failed"), "fact_rows")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def stage_counts(spark, sf_dir):
     """Rows at each stage of a second load on top of a first."""
     layout = _new_layout(spark)
@@ -312,6 +363,11 @@ QUERIES: dict[str, Query] = {
     "row_counts": row_counts,
     "column_profile": column_profile,
     "load_batch": load_batch,
+    "load_again_update": _load_again(UPDATE),
+    "load_again_narrow": _load_again(NARROW),
+    "load_again_ignore": _load_again(IGNORE),
+    "rejected_load": rejected_load,
+    "gate_failed": gate_failed,
     "stream_load": stream_load,
     "stage_counts": stage_counts,
     "daily_run_fact": daily_run_fact,
