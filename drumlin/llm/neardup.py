@@ -231,43 +231,69 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
+def _alike(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of whole tiles, the pairs of different components that look alike."""
+    rows = rows.sort_values(["tile", "node"], kind="stable")
+    x = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(rows), REGISTERS)
+    tile, node, part, cut, wide = (rows[c].to_numpy() for c in ("tile", "node", "part", "cut", "wide"))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, len(rows)):  # every row against the one so many places on in its tile
+        there = np.flatnonzero(tile[step:] == tile[:-step])
+        if not len(there):
+            break
+        on = there + step
+        fit = (part[there] != part[on]) & (~wide[there] | (cut[there] != cut[on]))
+        there, on = there[fit], on[fit]
+        likely = (x[there] == x[on]).mean(axis=1) >= LIKELY
+        a.append(node[there[likely]])
+        b.append(node[on[likely]])
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For rows in order of their tile."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        open_ = rows["tile"] == rows["tile"].iloc[-1] if len(rows) else []
+        held = rows[open_] if len(rows) else rows
+        done = rows[~open_] if len(rows) else rows
+        if len(done):
+            yield _alike(done)
+    if held is not None and len(held):
+        yield _alike(held)
+
+
 def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of nodes that share a band, are in different components and look alike."""
     placed = bands.join(parts, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     sizes = (
         placed.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min("part").alias("low"),
+            F.max("part").alias("high"),
+            F.bit_xor(F.xxhash64("node")).alias("who"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who2"),
+        )
         .where("low < high")
-        .select("band", F.ceil(F.col("n") / TILE).cast("int").alias("cuts"))
     )
-    cut = F.pmod(F.xxhash64("node", F.lit(9)), F.col("cuts")).cast("int")
+    # Bands with the same nodes need one look.
+    sizes = sizes.groupBy("n", "who", "who2").agg(F.min("band").alias("band")).select(
+        "band", F.ceil(F.col("n") / TILE).cast("int").alias("cuts")
+    )
     tiles = (
         placed.join(sizes, "band")
-        .withColumn("cut", cut)
+        .withColumn("cut", F.pmod(F.xxhash64("node", F.lit(9)), F.col("cuts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-        .withColumn("tile", F.xxhash64("band", F.least("cut", "other"), F.greatest("cut", "other")))
+        .select(
+            F.xxhash64("band", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
+            "node", "part", "cut", (F.col("cut") != F.col("other")).alias("wide"),
+        )
         .join(sigs, "node")
-        .select("tile", "node", "part", "sig", "cut", "other")
     )
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node", kind="stable")
-        x = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(rows), REGISTERS)
-        names, part = rows["node"].to_numpy(), rows["part"].to_numpy()
-        cut = rows["cut"].to_numpy()
-        apart = (rows["cut"] != rows["other"]).any()
-        found = []
-        for i in range(len(rows) - 1):
-            rest = slice(i + 1, None)
-            fit = part[rest] != part[i]
-            if apart:
-                fit &= cut[rest] != cut[i]
-            at = np.flatnonzero(fit) + i + 1
-            at = at[(x[at] == x[i]).mean(axis=1) >= LIKELY] if len(at) else at
-            found += [(names[i], names[j]) for j in at]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
-
-    return tiles.groupBy("tile").applyInPandas(compare, "a long, b long").distinct()
+    # A tile of two cuts compares across them only (wide); one of a single cut compares all.
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInPandas(_compare, "a long, b long").distinct()
 
 
 def links(docs: DataFrame) -> DataFrame:
