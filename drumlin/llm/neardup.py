@@ -9,10 +9,11 @@ two registers agree with probability equal to the weighted Jaccard similarity. A
 it is later than every register. Bands of equal registers make candidates; the overlap of the two
 multisets decides: a link is a similarity of 0.8 or more. Classes are connected by links.
 
-Equal texts are one node. Every text is first compared with the best-looking one of its bands'
-leaders; then, within bands that still hold more than one component, all pairs of different
-components are compared by signature, in tiles, and the likely ones by multiset. So no pair that
-shares a band and has the similarity stays apart, and a group of copies never makes all its pairs.
+Equal texts are one node. Every text is first verified against the best-looking one of its bands'
+leaders. Within bands that still hold more than one component, pairs of different components are
+compared by signature, in tiles: first each text is verified against the one that looks most like
+it, then what is still apart and looks alike, all pairs of it. So no pair that shares a band and has
+the similarity stays apart, and a group of copies never makes all its pairs.
 At a similarity of 0.8 a pair shares no band once in 300,000.
 
 Results for edge cases: a null text, or one without a word, is alone in its class; classes are
@@ -37,7 +38,9 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 #: Share of equal registers from which a pair is worth a look: over four standard errors below SIMILAR.
 LIKELY = 0.62
-TILE = 512
+TILE = 2048
+#: Multisets a worker remembers while it verifies.
+BAGS = 64
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,19 +197,27 @@ def verified(pairs: DataFrame, docs: DataFrame, label: str) -> DataFrame:
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-wanted")
     texts = docs.where("text is not null").select(node(F.col("text")).alias("node"), "text")
     texts = staged(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), f"{label}-texts")
-    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
+    # Many pairs share their a, few their b: joined last, it deals them out evenly.
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held = None, Counter()
+        held: dict[int, Counter] = {}
+
+        def of(name: int, text: str) -> Counter:
+            if name not in held:
+                if len(held) >= BAGS:
+                    held.clear()
+                held[name] = bag(text)
+            return held[name]
+
         for batch in batches:
-            kept = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"], strict=True):
-                if a != last:
-                    last, held = a, bag(x)
-                if similarity(held, bag(y)) >= SIMILAR:
-                    kept.append((a, b))
+            kept = [
+                (a, b)
+                for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"], strict=True)
+                if similarity(of(a, x), of(b, y)) >= SIMILAR
+            ]
             yield pd.DataFrame(kept, columns=["a", "b"])
 
     return staged(both.mapInPandas(run, "a long, b long"), f"{label}-links")
@@ -231,12 +242,13 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
-def _alike(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of whole tiles, the pairs of different components that look alike."""
+def _alike(rows: pd.DataFrame, best: bool) -> pd.DataFrame:
+    """Of whole tiles, the pairs of different components that look alike: all, or the best of each node."""
     rows = rows.sort_values(["tile", "node"], kind="stable")
     x = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(rows), REGISTERS)
     tile, node, part, cut, wide = (rows[c].to_numpy() for c in ("tile", "node", "part", "cut", "wide"))
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found: list[tuple[np.ndarray, ...]] = []
+    top, partner = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
     for step in range(1, len(rows)):  # every row against the one so many places on in its tile
         there = np.flatnonzero(tile[step:] == tile[:-step])
         if not len(there):
@@ -244,28 +256,44 @@ def _alike(rows: pd.DataFrame) -> pd.DataFrame:
         on = there + step
         fit = (part[there] != part[on]) & (~wide[there] | (cut[there] != cut[on]))
         there, on = there[fit], on[fit]
-        likely = (x[there] == x[on]).mean(axis=1) >= LIKELY
-        a.append(node[there[likely]])
-        b.append(node[on[likely]])
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For rows in order of their tile."""
-    held: pd.DataFrame | None = None
-    for batch in batches:
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        open_ = rows["tile"] == rows["tile"].iloc[-1] if len(rows) else []
-        held = rows[open_] if len(rows) else rows
-        done = rows[~open_] if len(rows) else rows
-        if len(done):
-            yield _alike(done)
-    if held is not None and len(held):
-        yield _alike(held)
-
-
-def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a band, are in different components and look alike."""
+        like = (x[there] == x[on]).mean(axis=1)
+        likely = like >= LIKELY
+        there, on, like = there[likely], on[likely], like[likely]
+        if not best:
+            found.append((node[there], node[on], like))
+            continue
+        for own, other in ((there, on), (on, there)):
+            better = like > top[own]
+            top[own[better]], partner[own[better]] = like[better], node[other[better]]
+    if best:
+        there = np.flatnonzero(top)
+        found.append((node[there], partner[there], top[there]))
+    columns = zip(*found, strict=True) if found else [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+    return pd.DataFrame(dict(zip(("a", "b", "like"), map(np.concatenate, columns), strict=True)))
+
+
+def _comparing(best: bool):
+    """Compares rows that come in order of their tile."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            open_ = rows["tile"] == rows["tile"].iloc[-1]
+            held = rows[open_]
+            if not open_.all():
+                yield _alike(rows[~open_], best)
+        if held is not None:
+            yield _alike(held, best)
+
+    return run
+
+
+def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame, best: bool) -> DataFrame:
+    """Pairs of nodes that share a band, are in different components and look alike: all of them,
+    or for each node the one that looks most alike."""
     placed = bands.join(parts, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     sizes = (
         placed.groupBy("band")
@@ -293,7 +321,11 @@ def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame) -> DataFrame:
         .join(sigs, "node")
     )
     # A tile of two cuts compares across them only (wide); one of a single cut compares all.
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInPandas(_compare, "a long, b long").distinct()
+    ordered = tiles.repartition("tile").sortWithinPartitions("tile")
+    pairs = ordered.mapInPandas(_comparing(best), "a long, b long, like double")
+    if best:
+        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -305,9 +337,12 @@ def links(docs: DataFrame) -> DataFrame:
     shared = staged(bands.join(shared, "band"), "bag-shared")  # members of bands with two nodes or more
     pairs = shared.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     best = _likeness(pairs, sigs).where(F.col("like") >= LIKELY).groupBy("b").agg(F.max_by("a", F.struct("like", "a")).alias("a"))
-    first = verified(best, docs, "bag-first")
-    rest = staged(_across(shared.select("band", "node"), sigs, components(first)), "bag-across")
-    return first.unionByName(verified(rest, docs, "bag-rest"))
+    found = verified(best, docs, "bag-first")
+    band_nodes = shared.select("band", "node")
+    for step, only_best in (("second", True), ("rest", False)):
+        more = staged(_across(band_nodes, sigs, components(found), only_best), f"bag-{step}-pairs")
+        found = found.unionByName(verified(more, docs, f"bag-{step}"))
+    return found
 
 
 def classes(docs: DataFrame) -> DataFrame:
