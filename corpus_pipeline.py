@@ -9,21 +9,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drumlin.llm import bpe, langid, mixing, neardup, pii
-from drumlin.llm.common import staged, table
+from drumlin.llm.common import staged, table, unused
 from drumlin.llm.queries import VOCABULARY
 
 #: Least probability of the language found.
 SURE = 0.5
 
 
+def _around(docs: DataFrame, results: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage whose results have names that the documents' own columns may have too."""
+    aside = {c: unused(f"{c}_", docs.columns) for c in results if c in docs.columns}
+    found = stage(docs.withColumnsRenamed(aside))
+    return found.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs, langid.train(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    def stage(rows: DataFrame) -> DataFrame:
+        found = langid.identify(rows, langid.train(docs))
+        kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
+        return kept.withColumn("lang", F.col("lang_pred"))
+
+    return _around(docs, ("lang_pred", "score"), stage)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +48,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.registered(docs).select(*docs.columns)
+    return _around(docs, ("epoch",), mixing.registered)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
