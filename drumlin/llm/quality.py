@@ -2,7 +2,7 @@
 
 Each document becomes a vector of transformed counts. The minimum-covariance-determinant estimate
 of a (language, source) group gives its centre and spread; documents with a large Mahalanobis
-distance are rejected. A group is dealt to shards of bounded size by a hash, as nested fast-MCD
+distance, above the 0.999 quantile of chi-square, are rejected. A group is dealt to shards of bounded size by a hash, as nested fast-MCD
 does: each shard finds the half of its rows with the smallest determinant by concentration steps
 from several starts, and the moments of these halves, which just add up, make the group's estimate.
 So every row takes part, and a group with a third of all rows is many tasks.
@@ -14,7 +14,8 @@ where that is too small too, nothing is rejected; repeated rows count each; tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,8 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 FEATURES = 6
-#: Least spread of each feature, so that groups in which nearly all rows agree reject no small change.
+#: Least spread of each feature, so that groups in which nearly all rows agree reject no small change:
+#: its square is added once to each covariance.
 FLOOR = np.array([0.6, 0.08, 0.06, 0.12, 0.12, 0.08])
 STAT_COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, vector array<double>"
 
@@ -128,7 +130,7 @@ def half(rows: np.ndarray, *, starts: int = 4, steps: int = 12, seed: int = 1) -
 
 def _moments(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mean = rows.mean(axis=0)
-    return mean, (rows - mean).T @ (rows - mean) / len(rows) + np.diag((FLOOR / 4) ** 2)
+    return mean, (rows - mean).T @ (rows - mean) / len(rows) + np.diag(FLOOR**2)
 
 
 def distances(rows: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
@@ -137,11 +139,44 @@ def distances(rows: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray
     return np.einsum("ij,ij->i", d @ np.linalg.inv(cov), d)
 
 
-#: Median of chi-square with as many degrees of freedom as features.
-CHI2_MEDIAN = FEATURES * (1 - 2 / (9 * FEATURES)) ** 3
+def chi2_above(x: float, degrees: int) -> float:
+    """Share of a chi-square distribution above x; its degrees are even."""
+    return math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(degrees // 2))
 
 
-def outliers(stats: DataFrame, *, cutoff: float = 60.0, least: int = 60, shard_rows: int = 4000) -> DataFrame:
+def hotelling_above(x: float, n: int) -> float:
+    """Share of normal rows whose squared distance is above x if mean and covariance come from n other rows."""
+    y, a = 1 / (1 + x * n / ((n + 1) * (n - 1))), (n - FEATURES) / 2
+    return y**a * sum(math.prod((a + k) / (k + 1) for k in range(i)) * (1 - y) ** i for i in range(FEATURES // 2))
+
+
+def _exceeded(share: float, above: Callable[[float], float]) -> float:
+    low, high = 0.0, 1e9
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if above(middle) > share else (low, middle)
+    return high
+
+
+def chi2_quantile(share: float, degrees: int) -> float:
+    return _exceeded(1 - share, lambda x: chi2_above(x, degrees))
+
+
+def consistency(share: float) -> float:
+    """How much narrower than all rows the covariance of that share of them is, the nearest ones, if they are normal."""
+    return share / (1 - chi2_above(chi2_quantile(share, FEATURES), FEATURES + 2)) if share < 1 else 1.0
+
+
+#: Squared distance that one in a thousand normal rows exceeds.
+CUTOFF = chi2_quantile(0.999, FEATURES)
+
+
+def small_sample(n: int) -> float:
+    """How much farther that distance is where mean and covariance come from n rows only."""
+    return _exceeded(0.001, lambda x: hotelling_above(x, max(n, FEATURES + 1))) / CUTOFF
+
+
+def outliers(stats: DataFrame, *, cutoff: float = CUTOFF, least: int = 60, shard_rows: int = 4000) -> DataFrame:
     """The rows with ``distance`` (squared, robust; null in groups too small to judge) and
     ``outlier``: distance above ``cutoff``. Needs lang, source, vector and an id doc_id."""
     # Small groups pool their language: their group is null within it.
@@ -172,31 +207,28 @@ def outliers(stats: DataFrame, *, cutoff: float = 60.0, least: int = 60, shard_r
         else:
             x = x[np.lexsort(x.T)]  # the order rows arrive in doesn't matter
             at = half(x)
-        mean, cov = _moments(x[at])
-        spread = np.median(distances(x, mean, cov))
         y = x[at]
         return pd.DataFrame(
-            {"n": [len(x)], "h": [len(y)], "s": [y.sum(axis=0)], "ss": [(y.T @ y).ravel()], "spread": [len(x) * max(spread, 1e-9)]}
+            {"n": [len(x)], "h": [len(y)], "s": [y.sum(axis=0)], "ss": [(y.T @ y).ravel()]}
         ).assign(lang=rows["lang"].iloc[0], _src=rows["source"].iloc[0], _pooled=bool(rows["_pooled"].iloc[0]))
 
     lang_type, source_type = (stats.schema[c].dataType.simpleString() for c in ("lang", "source"))
     halves = dealt.select("lang", "source", F.isnull("_group").alias("_pooled"), "_group", "_shard", "vector").groupBy("lang", "_group", "_shard").applyInPandas(
         fit,
-        f"n long, h long, s array<double>, ss array<double>, spread double, lang {lang_type}, _src {source_type}, _pooled boolean",
+        f"n long, h long, s array<double>, ss array<double>, lang {lang_type}, _src {source_type}, _pooled boolean",
     )
     halves = halves.withColumn("_group", F.when(~F.col("_pooled"), F.struct(F.col("_src").alias("source"))))
     sums = [F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(FEATURES)]
     squares = [F.sum(F.col("ss")[i]).alias(f"ss{i}") for i in range(FEATURES * FEATURES)]
     models = staged(
         halves.groupBy("lang", "_group")
-        .agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum("spread").alias("spread"), *sums, *squares)
+        .agg(F.sum("n").alias("n"), F.sum("h").alias("h"), *sums, *squares)
         .where(F.col("n") >= least)
         .select(
             "lang",
             "_group",
             "n",
             "h",
-            "spread",
             F.array(*[F.col(f"s{i}") for i in range(FEATURES)]).alias("s"),
             F.array(*[F.col(f"ss{i}") for i in range(FEATURES * FEATURES)]).alias("ss"),
         ),
@@ -210,15 +242,14 @@ def outliers(stats: DataFrame, *, cutoff: float = 60.0, least: int = 60, shard_r
         inverses: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             found = np.full(len(batch), np.nan)
-            for i, (v, h, n, spread, s, ss) in enumerate(zip(*[batch[c] for c in ("vector", "h", "n", "spread", "s", "ss")], strict=True)):
+            for i, (v, h, n, s, ss) in enumerate(zip(*[batch[c] for c in ("vector", "h", "n", "s", "ss")], strict=True)):
                 if s is None:
                     continue
                 key = np.asarray(s).tobytes()
                 if key not in inverses:
                     mean = np.asarray(s) / h
                     cov = np.asarray(ss).reshape(FEATURES, FEATURES) / h - np.outer(mean, mean)
-                    # Half the rows look narrower than all: scale until the median distance is as it should be.
-                    cov = cov * max(spread / n / CHI2_MEDIAN, 1.0) + np.diag(FLOOR**2)
+                    cov = cov * consistency(h / n) * small_sample(h) + np.diag(FLOOR**2)
                     inverses[key] = mean, np.linalg.inv(cov)
                 mean, inverse = inverses[key]
                 d = np.asarray(v) - mean
@@ -227,7 +258,7 @@ def outliers(stats: DataFrame, *, cutoff: float = 60.0, least: int = 60, shard_r
             yield batch[[*keep, "distance"]]
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema) + ", distance double"
-    measured = judged.select(*keep, "h", "n", "spread", "s", "ss").mapInPandas(measure, schema)
+    measured = judged.select(*keep, "h", "n", "s", "ss").mapInPandas(measure, schema)
     return measured.select(
         *keep, F.nanvl("distance", F.lit(None).cast("double")).alias("distance")
     ).withColumn("outlier", F.coalesce(F.col("distance") > cutoff, F.lit(False)))

@@ -62,6 +62,40 @@ def test_outliers_are_found_whatever_the_shards(spark):
         assert all(found[i] for i in range(900, 1000)) and sum(found[i] for i in range(900)) == 0
 
 
+def test_cutoff_is_a_chi_square_quantile():
+    assert abs(quality.CUTOFF - 22.4577) < 1e-3
+    assert abs(quality.chi2_quantile(0.5, 6) - 5.3481) < 1e-3 and quality.consistency(1.0) == 1
+    assert abs(quality.small_sample(10**6) - 1) < 1e-3
+    few = np.random.default_rng(3).normal(0, 1, (100_000, 21, quality.FEATURES))
+    d = few[:, 20] - few[:, :20].mean(axis=1)
+    spread = few[:, :20] - few[:, :20].mean(axis=1, keepdims=True)
+    cov = np.einsum("kij,kil->kjl", spread, spread) / 19
+    far = np.einsum("ki,ki->k", d, np.linalg.solve(cov, d[..., None])[..., 0]) > 26
+    assert abs(far.mean() - quality.hotelling_above(26.0, 20)) < 0.002
+    x = np.random.default_rng(2).normal(0, 1, (40_000, quality.FEATURES))
+    near = x[np.argsort((x**2).sum(axis=1))[:20_000]]
+    assert np.allclose(near.var(axis=0) * quality.consistency(0.5), 1, atol=0.04)
+
+
+def test_junk_goes_and_clean_texts_stay(spark):
+    """In every language and source alike, whatever their sizes."""
+    rng = random.Random(7)
+    words = [[c + "".join(rng.choice("aeinrst") for _ in range(rng.randrange(1, 9))) for _ in range(400)] for c in "dem"]
+    given, junk = [], set()
+    for n, (lang, source) in enumerate([("de", "a")] * 150 + [("en", "a")] * 600 + [("en", "b")] * 90 + [("es", "c")] * 40 + [("es", "d")] * 40):
+        own = words[("de", "en", "es").index(lang)]
+        some = [rng.choice(own) for _ in range(rng.randrange(40, 300))]
+        text = ". ".join(" ".join(some[i : i + 9]) for i in range(0, len(some), 9))
+        if n % 15 == 4:
+            junk.add(n)
+            plain = len(some) * 3 // 10
+            text = " ".join(some[:plain]) + " " + " | ".join(some[plain:])
+        given.append((n, text, lang, source))
+    found = quality.verdicts(spark.createDataFrame(given, "doc_id long, text string, lang string, source string")).collect()
+    assert len(found) == len(given) and not any(r.base_failed for r in found)
+    assert {r.doc_id for r in found if not r.kept} == junk
+
+
 def test_edge_cases(spark):
     for frame in (docs(spark), docs(spark, extra=True)):
         found = quality.verdicts(frame).collect()
