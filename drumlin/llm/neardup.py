@@ -18,6 +18,8 @@ At a similarity of 0.8 a pair shares no band once in 300,000.
 
 Results for edge cases: a null text, or one without a word, is alone in its class; classes are
 named by their least doc_id; repeated rows get the same class; with no rows there are no classes.
+A name tells classes apart only if ids do: classes without an id have none, and of an id with two
+texts two classes may have it. Deduplication goes by the classes themselves and keeps one of each.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drumlin.llm.common import chunks, staged, strings
+from drumlin.llm.common import chunks, staged, strings, unused
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -345,12 +347,15 @@ def links(docs: DataFrame) -> DataFrame:
     return found
 
 
+def wordless(text: Column) -> Column:
+    return F.coalesce(F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     ")) == "", F.lit(True))
+
+
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, node, class_id (its least doc_id) and class_size of every row."""
+    """doc_id, node, part (the class itself; null if alone), class_id (its least doc_id) and class_size of every row."""
     found = staged(components(links(docs)), "bag-classes")
     # A text without a word, or null, is alone: its node is its row.
-    alone = F.coalesce(F.trim(F.translate("text", "\t\n\r\x0b\x0c", "     ")) == "", F.lit(True))
-    rows = docs.select("doc_id", node(F.col("text")).alias("node"), alone.alias("alone"))
+    rows = docs.select("doc_id", node(F.col("text")).alias("node"), wordless(F.col("text")).alias("alone"))
     named = rows.join(found, "node", "left").withColumn("part", F.when(~F.col("alone"), F.coalesce("component", "node")))
     named = staged(named.select("doc_id", "node", "part"), "bag-rows")
     least = named.where("part is not null").groupBy("part").agg(
@@ -359,6 +364,7 @@ def classes(docs: DataFrame) -> DataFrame:
     return named.join(least, "part", "left").select(
         "doc_id",
         "node",
+        "part",
         F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id"),
         F.coalesce("size", F.lit(1)).alias("class_size"),
     )
@@ -369,10 +375,14 @@ def registered(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of one document of each class: the one with the least doc_id."""
+    """The rows of one document of each class: the one with the least doc_id. Rows that are alone all
+    stay, but for repeated ones of an id."""
     found = classes(docs.select("doc_id", "text"))
-    held = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "class_id").agg(F.min("node").alias("node"))
-    held = held.select(F.col("doc_id").alias("_doc"), F.col("node").alias("_node"))
-    rows = docs.withColumn("_key", F.coalesce(node(F.col("text")), F.lit(0)))
-    kept = rows.join(held, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.coalesce("_node", F.lit(0))), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).drop("_key")
+    first = found.where(F.col("part").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    held = first.groupBy("part").agg(F.min("doc_id").alias("_doc"), F.min("node").alias("_node")).drop("part")
+    key, alone = unused("_key", docs.columns), wordless(F.col("text"))
+    rows = docs.withColumn(key, node(F.col("text")))
+    kept = rows.where(~alone).join(held, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col(key) == F.col("_node")), "left_semi")
+    lone = rows.where(alone)
+    once = kept.unionByName(lone.where("doc_id is not null")).dropDuplicates(["doc_id", key])
+    return once.unionByName(lone.where("doc_id is null")).drop(key)

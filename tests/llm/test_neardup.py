@@ -107,6 +107,24 @@ def test_components(spark):
     assert got == want
 
 
+def test_one_of_each_class_stays_whatever_the_ids(spark):
+    def words(name):
+        return " ".join(f"{name}{i}" for i in range(80))
+
+    near = " ".join([*words("n").split()[:-1], "changed"])
+    given = [
+        (None, words("a")), (None, words("b")), (None, words("b")), (None, words("c")),  # no ids, three texts
+        (5, words("x")), (5, words("y")), (7, words("y")),  # two texts under one id
+        (None, words("n")), (9, near), (8, words("n")),  # a class of rows with and without an id
+        (None, None), (None, None), (None, " "), (3, None), (3, None), (3, ""),  # alone
+    ]
+    frame = spark.createDataFrame([(*r, "x") for r in given], DOCS + ", _key string")
+    got = [(r.doc_id, r.text) for r in neardup.deduplicate(frame).collect()]
+    want = [(None, words(x)) for x in "abc"] + [(5, words("x")), (5, words("y")), (8, words("n"))]
+    want += [(None, None), (None, None), (None, " "), (3, None), (3, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_edge_cases(spark):
     for frame in (docs(spark), docs(spark, extra=True)):
         got = neardup.registered(frame).collect()
