@@ -2,15 +2,16 @@
 
 A page is cut into blocks. What stands inside an article or main element is the page's text; menus,
 headers, footers, sidebars, notices, adverts, forms, comments and the like are not. On a page that
-names no article, blocks outside such parts are open. For them the token streams of a host's pages
-(all text outside articles) are concatenated and their suffixes sorted; substrings of ``RUN`` or
-more tokens that stand on two distinct pages of the host are boilerplate. Open blocks lose the
-tokens that such substrings cover and keep their unique runs.
+names no article, blocks outside such parts are open. The token streams of a host's pages, all their
+blocks in order, are concatenated and their suffixes sorted: substrings of ``RUN`` tokens that stand
+on ``SHARE`` of the host's distinct pages, ``LEAST`` at least, are furniture. The text loses
+stretches of them at its beginning and end, and open text those of ``LONG`` tokens too. A stretch takes whole blocks, and of others only ``RUN`` tokens or more; blocks below that go with a stretch only.
 
-A host's pages are dealt to shards of bounded size, each with a suffix array of its own; every
-shard names its substrings of ``RUN`` tokens with the least and greatest page they stand on, and
-sums of these over shards tell which are on distinct pages, so a host with a third of all pages is
-many tasks and nothing is lost between them. Pages are distinct if their html is.
+Pages are distinct if their html is, and if they are no near copies: ``ALIKE`` of their substrings
+are equal, by min-hashes. Near copies count as one page. A host's pages are dealt to shards of
+bounded size, each with a suffix array of its own. What stands on a share of a host's pages does so
+in one of its shards at least; such substrings are then counted on all pages, so a host with a third
+of all pages is many tasks and nothing is lost between them.
 
 Results for edge cases: null or empty html gives the empty text; unclosed elements, comments and
 tags end with the page; a null url is a host of its own; repeated rows give a result each; other
@@ -20,9 +21,10 @@ columns are kept, but for those named ``text`` or ``n_chars``.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -32,10 +34,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drumlin.llm.common import staged, unused
-
-#: Tokens of the shortest substring that counts as repeated.
-RUN = 8
-SHARD_PAGES = 2000
+from drumlin.llm.neardup import components, mix
+
+#: Tokens of the shortest substring that counts as repeated, and of a stretch that goes wherever it stands.
+RUN, LONG = 8, 24
+#: Furniture stands on this share of a host's distinct pages, and on so many at least.
+SHARE, LEAST = 0.5, 3
+#: The same for what goes from an article: lines that many texts begin with stand on up to two thirds of a small host's pages.
+INSIDE_SHARE, INSIDE_LEAST = 0.9, 8
+#: Near copies: share of equal min-hashes; bands of them that find the pairs.
+ALIKE, BANDS, ROWS = 0.8, 8, 4
+SHARD_PAGES = 500
+#: A host's furniture is joined to its pages by as many keys.
+SALTS = 64
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup: skipped up to the end tag.
@@ -241,95 +252,179 @@ def suffix_runs(streams: list[list[str]], run: int = RUN) -> tuple[np.ndarray, n
     return stream[starts_run], offset[starts_run], ranks[starts_run]
 
 
-def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    """Substrings of a shard's streams with the least and greatest page, and their places in open blocks."""
-    rows = rows.sort_values(["key", "no"], kind="stable").drop_duplicates(["key", "no"])
-    streams = [x.split(" ") for x in rows["text"]]
-    stream, offset, number = suffix_runs(streams)
-    keys = rows["key"].to_numpy()[stream]
-    first = pd.Series(np.arange(len(number))).groupby(number).first()
-    names = {}
-    for num, i in first.items():
-        tokens = streams[stream[i]]
-        names[num] = "\x1f".join(tokens[offset[i] : offset[i] + RUN])
-    marks = pd.util.hash_array(np.array([names[x] for x in first.index], dtype=object), categorize=False).astype(np.int64)
-    mark = pd.Series(marks, index=first.index).reindex(number).to_numpy()
-    places = pd.DataFrame({"mark": mark, "key": keys, "no": rows["no"].to_numpy()[stream], "at": offset, "open": rows["open"].to_numpy()[stream]})
-    spans = places.groupby("mark")["key"].agg(["min", "max"]).reset_index()
-    out = pd.DataFrame({"mark": spans["mark"], "low": spans["min"], "high": spans["max"]}).assign(key=None, no=None, at=None)
-    wide = places[places["open"]][["mark", "key", "no", "at"]].assign(low=None, high=None)
-    both = pd.concat([out.astype(object), wide.astype(object)], ignore_index=True)[["mark", "low", "high", "key", "no", "at"]]
-    both.insert(0, "host", rows["host"].iloc[0])
-    return both.where(both.notna(), None)
-
-
-def boilerplate(pages: DataFrame) -> DataFrame:
-    """key (content), covered: of open blocks (no) the offsets of substrings repeated on distinct pages of the host."""
+def marks(tokens: list[str]) -> np.ndarray:
+    """Hashes of the substrings of RUN tokens, by place."""
+    n = len(tokens) - RUN + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    h = pd.util.hash_array(np.array(tokens, dtype=object), categorize=False)
+    found = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(RUN):
+            found = mix(found * np.uint64(31) + h[i : i + n])
+    return found.astype(np.int64)
+
+
+def _sketch(found: np.ndarray) -> list[int]:
+    """Min-hashes of a page's substrings; a page without any has none."""
+    if not len(found):
+        return []
+    runs = np.unique(found).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return [int(mix(runs ^ mix(np.array([i + 1], np.uint64))).min() >> np.uint64(1)) for i in range(BANDS * ROWS)]
+
+
+def _tokens(parts: list[Block]) -> list[str]:
+    return [t for b in parts for t in b.text.split(" ")]
+
+
+def _streams(pages: DataFrame) -> DataFrame:
+    """page (a host's html), host, text (tokens) and sketch of pages that have a substring."""
     named = pages.select(host(F.col("url")).alias("host"), content(F.col("html")).alias("key"), "html")
 
-    def streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for h, key, page in zip(batch["host"], batch["key"], batch["html"], strict=True):
-                parts = blocks(page) if isinstance(page, str) else []
-                whole = any(b.kind == MAIN for b in parts)
-                rows += [(h, key, i, b.kind == OPEN and not whole, b.text) for i, b in enumerate(parts) if b.kind != MAIN]
-            yield pd.DataFrame(rows, columns=["host", "key", "no", "open", "text"])
-
-    shards = named.groupBy("host").agg(F.ceil(F.count("*") / SHARD_PAGES).cast("int").alias("shards"))
-    shards = staged(shards.withColumnRenamed("host", "_host"), "html-hosts")
-    text = named.mapInPandas(streams, "host string, key long, no int, open boolean, text string")
-    dealt = (
-        text.join(shards, F.col("host") == F.col("_host"))
-        .withColumn("shard", F.pmod("key", "shards"))
-        .select("host", "shard", "key", "no", "open", "text")
-        .repartition("host", "shard")  # else a join by host would leave all shards of one in a task
-    )
-    found = staged(
-        dealt.groupBy("host", "shard").applyInPandas(_shard, "host string, mark long, low long, high long, key long, no int, at int"),
-        "html-runs",
-    )
-    repeated = (
-        found.where("key is null").groupBy("host", "mark").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+                tokens = _tokens(blocks(page)) if isinstance(page, str) else []
+                if len(tokens) >= RUN:
+                    rows.append((h, key, " ".join(tokens), _sketch(marks(tokens))))
+            yield pd.DataFrame(rows, columns=["host", "key", "text", "sketch"])
+
+    found = named.mapInPandas(run, "host string, key long, text string, sketch array<long>")
+    found = found.dropDuplicates(["host", "key"]).withColumn("page", F.xxhash64("host", "key"))
+    return staged(found.select("page", "host", "text", "sketch"), "html-streams")
+
+
+def _firsts(streams: DataFrame) -> DataFrame:
+    """The streams without near copies of others of their host: of these the least page stays."""
+    bands = streams.select(
+        "page", "host", "sketch",
+        F.explode(F.array(*[F.xxhash64("host", F.lit(i), F.slice("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("band"),
+    )
+    least = bands.groupBy("band").agg(F.min("page").alias("least"), F.max("page").alias("most")).where("least < most")
+    pairs = bands.join(least, "band").where("page <> least").select("page", "least", "sketch").dropDuplicates(["page", "least"])
+    both = pairs.join(streams.select(F.col("page").alias("least"), F.col("sketch").alias("other")), "least")
+    equal = F.size(F.filter(F.zip_with("sketch", "other", lambda x, y: x == y), lambda x: x))
+    links = staged(both.where(equal >= math.ceil(ALIKE * BANDS * ROWS)).select(F.col("page").alias("a"), F.col("least").alias("b")), "html-links")
+    if links.isEmpty():
+        return streams.select("page", "host", "text")
+    copies = components(links).where("node <> component").select(F.col("node").alias("page"))
+    return staged(streams.select("page", "host", "text").join(copies, "page", "left_anti"), "html-firsts")
+
+
+def _shard(rows: pd.DataFrame) -> pd.DataFrame:
+    """Substrings that stand on the share of a shard's pages."""
+    rows = rows.sort_values("page", kind="stable")
+    streams = [x.split(" ") for x in rows["text"]]
+    stream, offset, number = suffix_runs(streams)
+    places = pd.DataFrame({"stream": stream, "at": offset, "number": number}).drop_duplicates(["stream", "number"])
+    counts = places.groupby("number").agg(n=("stream", "size"), stream=("stream", "first"), at=("at", "first"))
+    wide = counts[counts["n"] >= SHARE * len(rows)]
+    found = [marks(streams[i][at : at + RUN])[0] for i, at in zip(wide["stream"], wide["at"], strict=True)]
+    return pd.DataFrame({"host": rows["host"].iloc[0], "mark": np.array(found, np.int64)})
+
+
+def _salted(known: DataFrame) -> DataFrame:
+    """Each host's marks, and those for articles, once for each salt."""
+    lists = known.groupBy("host").agg(
+        F.collect_set("mark").alias("marks"), F.collect_set(F.when(F.col("inside"), F.col("mark"))).alias("inside")
     )
-    covered = found.where("key is not null").select("host", "mark", "key", "no", "at").join(repeated.select("host", "mark"), ["host", "mark"])
-    per_block = covered.groupBy("key", "no").agg(F.collect_set("at").alias("at"))
-    return staged(per_block.groupBy("key").agg(F.collect_list(F.struct("no", "at")).alias("covered")), "html-covered")
+    return lists.select(F.col("host").alias("_host"), "marks", "inside", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
 
 
-def unique_runs(text: str, at: set[int], run: int = RUN) -> str:
-    tokens = text.split(" ")
-    gone = {i + j for i in at for j in range(run)}
-    return " ".join(t for i, t in enumerate(tokens) if i not in gone)
+def furniture(pages: DataFrame) -> DataFrame:
+    """host, mark: the substrings that stand on the share of the host's distinct pages; inside: whether articles lose them."""
+    firsts = _firsts(_streams(pages))
+    sizes = firsts.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST)
+    sizes = staged(sizes.select(F.col("host").alias("_host"), "pages", F.ceil(F.col("pages") / SHARD_PAGES).cast("int").alias("shards")), "html-hosts")
+    dealt = (
+        firsts.join(sizes, F.col("host") == F.col("_host"))
+        .withColumn("shard", F.pmod("page", "shards"))
+        .select("host", "shard", "page", "text")
+        .repartition("host", "shard")  # else a join by host would leave all shards of one in a task
+    )
+    likely = staged(dealt.groupBy("host", "shard").applyInPandas(_shard, "host string, mark long").distinct(), "html-likely")
 
+    def standing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(h, m) for h, text, own in zip(batch["host"], batch["text"], batch["marks"], strict=True) for m in np.intersect1d(marks(text.split(" ")), own)]
+            yield pd.DataFrame(rows, columns=["host", "mark"])
 
-def main_text(parts: list[Block], covered: dict[int, set[int]]) -> str:
-    if any(b.kind == MAIN for b in parts):
-        kept = [b.text for b in parts if b.kind == MAIN]
-    else:
-        kept = [unique_runs(b.text, covered.get(i, set())) for i, b in enumerate(parts) if b.kind == OPEN]
-    return "\n".join(x for x in kept if x)
+    salted = _salted(likely.withColumn("inside", F.lit(False)))
+    asked = firsts.withColumn("_by", F.pmod("page", F.lit(SALTS)).cast("int")).join(
+        salted, (F.col("host") == F.col("_host")) & (F.col("_by") == F.col("_salt"))
+    )
+    counts = asked.select("host", "text", "marks").mapInPandas(standing, "host string, mark long").groupBy("host", "mark").agg(F.count("*").alias("n"))
+    wide = counts.join(sizes, F.col("host") == F.col("_host")).where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages")))
+    inside = (F.col("n") >= INSIDE_LEAST) & (F.col("n") >= INSIDE_SHARE * F.col("pages"))
+    return staged(wide.select("host", "mark", inside.alias("inside")), "html-furniture")
+
+
+def _gone(covered: np.ndarray, everywhere: bool) -> np.ndarray:
+    """Of covered tokens those in stretches at the beginning or end, or long ones."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    gone = np.zeros(len(covered), bool)
+    for start, end in zip(edges[::2], edges[1::2], strict=True):
+        if start == 0 or end == len(covered) or everywhere and end - start >= LONG:
+            gone[start:end] = True
+    return gone
+
+
+def main_text(parts: list[Block], known: Sequence[int], inside: Sequence[int] = ()) -> str:
+    """The page's text; known are the marks of its host's furniture, inside those that articles lose."""
+    whole = any(b.kind == MAIN for b in parts)
+    known = () if whole else known
+    kind = MAIN if whole else OPEN
+    if not len(known):
+        return "\n".join(b.text for b in parts if b.kind == kind)
+    tokens = _tokens(parts)
+    covered = np.zeros(len(tokens) + RUN, bool)
+    for at in np.flatnonzero(np.isin(marks(tokens), np.asarray(known, np.int64))):
+        covered[at : at + RUN] = True
+    at, kept = 0, []
+    for b in parts:
+        own = b.text.split(" ")
+        if b.kind == kind:
+            here = covered[at : at + len(own)].copy()
+            if not here.all():  # stretches of other blocks that reach into this one
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], here.astype(np.int8), [0]])))
+                for start, end in zip(edges[::2], edges[1::2], strict=True):
+                    if end - start < RUN:
+                        here[start:end] = False
+            kept.append((own, here))
+        at += len(own)
+    if not kept:
+        return ""
+    gone = _gone(np.concatenate([here for _, here in kept]), not whole)
+    lines, at = [], 0
+    for own, _ in kept:
+        lines.append(" ".join(t for t, out in zip(own, gone[at : at + len(own)], strict=True) if not out))
+        at += len(own)
+    return "\n".join(x for x in lines if x)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """The rows without ``html``, with ``text``: the page's main text. Needs url and html."""
-    known = boilerplate(pages)
+    known = _salted(furniture(pages))
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
     schema = T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType())])
     rows = pages.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "html", content(F.col("html")).alias("_key")
-    ).join(known.select(F.col("key").alias("_key"), "covered"), "_key", "left")
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "html", host(F.col("url")).alias("_name"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_by"),  # any salt does
+    ).join(known, (F.col("_name") == F.col("_host")) & (F.col("_by") == F.col("_salt")), "left")
     marked = unused("covered", keep)
+    marked_inside = unused("inside", keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = []
-            for page, covered in zip(batch["html"], batch[marked], strict=True):
-                marks = {x["no"]: set(x["at"]) for x in covered} if covered is not None else {}
-                texts.append(main_text(blocks(page) if isinstance(page, str) else [], marks))
+            texts = [
+                main_text(blocks(page) if isinstance(page, str) else [], *((own, inside) if own is not None else ((), ())))
+                for page, own, inside in zip(batch["html"], batch[marked], batch[marked_inside], strict=True)
+            ]
             yield batch[keep].assign(text=texts)
 
-    flat = rows.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("html"), F.col("covered").alias(marked))
+    flat = rows.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("html"), F.col("marks").alias(marked), F.col("inside").alias(marked_inside))
     return flat.mapInPandas(run, schema)
 
 

@@ -83,6 +83,25 @@ def test_hot_hosts_are_sharded(spark, monkeypatch):
     assert sorted(r.text for r in found) == sorted(f"own{i} words" for i in range(40))
 
 
+def own(name, n=40):
+    return " ".join(f"{name}x{j}" for j in range(n))
+
+
+def test_near_copies_and_shared_parts_stay(spark):
+    """Only furniture goes: no near copy's text, no heading, quotation or short block that pages share."""
+    quote = own("quote", 12)
+    rows, want = [], {}
+    for i in range(6):  # near copies of one page
+        rows.append((i, "http://near.example/", f"<h2>Introduction</h2><p>{own('same', 120)}</p><p>day{i} end</p>"))
+        want[i] = f"Introduction\n{own('same', 120)}\nday{i} end"
+    for i in range(10, 22):  # a heading on all pages, a quotation on a few, in the middle
+        cited = f"<p>{quote}</p>" if i < 14 else ""
+        rows.append((i, "http://mixed.example/", f"<p>{own(i)}</p><h2>Introduction</h2>{cited}<p>Yes.</p><p>{own(-i)}</p>"))
+        want[i] = "\n".join(x for x in (own(i), "Introduction", quote if cited else "", "Yes.", own(-i)) if x)
+    found = {r.page_id: r.text for r in html.registered(pages(spark, rows)).collect()}
+    assert found == want
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, None, ""), (None, "x", "<p>y"), (2, None, ""), (5, "http://h/", "<article>" + "w " * 50_000)]
     found = html.registered(pages(spark, rows)).collect()
