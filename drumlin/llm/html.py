@@ -5,7 +5,9 @@ headers, footers, sidebars, notices, adverts, forms, comments and the like are n
 names no article, blocks outside such parts are open. The token streams of a host's pages, all their
 blocks in order, are concatenated and their suffixes sorted: substrings of ``RUN`` tokens that stand
 on ``SHARE`` of the host's distinct pages, ``LEAST`` at least, are furniture. The text loses
-stretches of them at its beginning and end, and open text those of ``LONG`` tokens too. A stretch takes whole blocks, and of others only ``RUN`` tokens or more; blocks below that go with a stretch only.
+stretches of them at its beginning and end, and open text those of ``LONG`` tokens too; an article
+loses only what stands on ``INSIDE_SHARE`` of the pages, ``INSIDE_LEAST`` at least. A stretch takes
+whole blocks, and of others only ``RUN`` tokens or more; blocks below that go with a stretch only.
 
 Pages are distinct if their html is, and if they are no near copies: ``ALIKE`` of their substrings
 are equal, by min-hashes. Near copies count as one page. A host's pages are dealt to shards of
@@ -374,7 +376,7 @@ def _gone(covered: np.ndarray, everywhere: bool) -> np.ndarray:
 def main_text(parts: list[Block], known: Sequence[int], inside: Sequence[int] = ()) -> str:
     """The page's text; known are the marks of its host's furniture, inside those that articles lose."""
     whole = any(b.kind == MAIN for b in parts)
-    known = () if whole else known
+    known = inside if whole else known
     kind = MAIN if whole else OPEN
     if not len(known):
         return "\n".join(b.text for b in parts if b.kind == kind)

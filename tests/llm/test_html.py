@@ -102,6 +102,19 @@ def test_near_copies_and_shared_parts_stay(spark):
     assert found == want
 
 
+def test_furniture_inside_articles(spark, monkeypatch):
+    """Found by the host's suffix arrays, whatever its classes are named, and in all shards."""
+    letter = "<p>Get the best of our stories</p><p>in your mailbox every single morning</p>"
+    line = "one line that every page repeats in its middle"
+    rows = [(i, "http://a.example/", f"<article><p>{own(i)}</p><p>{line}</p><p>{own(-i)}</p><div class='zz'>{letter}</div></article>") for i in range(1, 13)]
+    rows += [(20 + i, "http://b.example/", f"<article><p>{own(i)}</p>{letter}</article>") for i in range(2)]  # two pages are too few
+    for shard in (html.SHARD_PAGES, 3):
+        monkeypatch.setattr(html, "SHARD_PAGES", shard)
+        found = {r.page_id: r.text for r in html.registered(pages(spark, rows)).collect()}
+        assert all(found[i] == f"{own(i)}\n{line}\n{own(-i)}" for i in range(1, 13))
+        assert all("mailbox" in found[20 + i] for i in range(2))
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, None, ""), (None, "x", "<p>y"), (2, None, ""), (5, "http://h/", "<article>" + "w " * 50_000)]
     found = html.registered(pages(spark, rows)).collect()
