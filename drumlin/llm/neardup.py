@@ -12,9 +12,9 @@ multisets decides: a link is a similarity of 0.8 or more. Classes are connected
 Equal texts are one node. Every text is first verified against the best-looking one of its bands'
 leaders. Within bands that still hold more than one component, pairs of different components are
 compared by signature, in tiles: first each text is verified against the one that looks most like
-it, then what is still apart and looks alike, all pairs of it. So no pair that shares a band and has
-the similarity stays apart, and a group of copies never makes all its pairs.
-At a similarity of 0.8 a pair shares no band once in 300,000.
+it, then what is still apart and looks alike, all pairs of it. So a group of copies never makes all
+its pairs. A pair of similarity 0.8 can be missed in two ways: it shares no band once in 300,000, and
+fewer than 60 of its 96 registers (``LIKELY``) agree once in 45,000, so that it is never verified.
 
 Results for edge cases: a null text, or one without a word, is alone in its class; classes are
 named by their least doc_id; repeated rows get the same class; with no rows there are no classes.
