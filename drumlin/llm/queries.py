@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drumlin.llm import bpe, chat, html, langid, mixing, neardup, pii, quality, topk, toxicity
+from drumlin.llm import bpe, chat, collocations, html, langid, mixing, neardup, pii, quality, topk, toxicity, warc, whitening
 from drumlin.llm.common import table
 
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+def vocabulary() -> str:
+    """Where the tokenizer's file lies; looked up when it is needed, as its package may be missing."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +44,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +64,18 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.registered(table(spark, sf_dir, "embeddings"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.registered(table(spark, sf_dir, "pages"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.registered(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.registered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neardup": op1_neardup,
     "op2_langid": op2_langid,
@@ -71,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_html": op9_html,
     "op10_topk": op10_topk,
+    "op11_warc": op11_warc,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }
 
 def _dealt(level: str, above: str, weight: str, held: str) -> str:
@@ -129,7 +148,61 @@ plan as (
 select {{columns}} from (select *, cast(unnest(range(n)) as integer) epoch from reading where n > 0)
 """
 
+def _phrases(most: int) -> str:
+    """Counts of the phrases of 1 to ``most`` words within pieces."""
+    parts = [
+        f"select lang, {k} k, array_to_string(w[i:i + {k - 1}], ' ') phrase, w[i:i + {k - 1}] ws"
+        f" from (select lang, w, unnest(generate_series(1, len(w) - {k - 1})) i from pieces)"
+        for k in range(1, most + 1)
+    ]
+    return " union all ".join(parts)
+
+
+COLLOCATIONS = f"""
+with texts as (
+  select coalesce(lang, 'und') lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\\x0A-\\x0D]')) piece
+  from documents
+), pieces as (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') w from texts
+), counted as (
+  select lang, k, phrase, any_value(ws) ws, cast(count(*) as hugeint) f from ({_phrases(5)}) group by lang, k, phrase
+), totals as (
+  select lang, sum(f) n from counted where k = 1 group by lang
+), candidates as (
+  select * from counted where k > 1 and f >= 100
+), cuts as (
+  select c.lang, c.k, c.phrase, c.f a, x.f l, y.f r, t.n, cut, 1000 * c.f * cast(t.n as hugeint) // (x.f * y.f) score
+  from (select *, unnest(generate_series(1, k - 1)) cut from candidates) c
+  join counted x on x.lang = c.lang and x.k = cut and x.phrase = array_to_string(c.ws[1:cut], ' ')
+  join counted y on y.lang = c.lang and y.k = c.k - cut and y.phrase = array_to_string(c.ws[cut + 1:], ' ')
+  join totals t on t.lang = c.lang
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inside as (
+  select lang, array_to_string(ws[1 + o:k - 1 + o], ' ') phrase, f from candidates, (values (0), (1)) s(o) where k > 2
+), ranked as (
+  select b.*, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) rank
+  from best b where not exists (select 1 from inside i where i.lang = b.lang and i.phrase = b.phrase and i.f >= b.a)
+)
+select lang, cast(rank as bigint) rank, phrase, cast(a as bigint) a, cast(l as bigint) l, cast(r as bigint) r,
+  cast(n as bigint) n, cast(score as bigint) score
+from ranked where rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_warc": """
+with payloads as (
+  select page_id, coalesce(html, '') html, cast(strlen(coalesce(html, '')) as bigint) payload_bytes from pages
+), tops as (
+  select *, max(page_id) over (partition by html) top from payloads
+)
+select page_id, payload_bytes, sha1(html) payload_digest,
+  case when again then 'revisit' else 'response' end record_type, case when again then top end refers_to
+from (select *, payload_bytes >= 1000 and top is not null and page_id is distinct from top again from tops)
+""",
+    "op12_collocations": COLLOCATIONS,
     "op5_chat": f"""
 with rows as (
   select conv_id, coalesce(turn, 0) turn, coalesce(role, '') role, coalesce(text, '') text from conversations

@@ -25,7 +25,7 @@ def test_stages_take_effect(spark):
     texts = {r.doc_id: r.text for r in mixed.collect()}
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(corpus_pipeline.VOCABULARY)
+    library = Tokenizer.from_file(corpus_pipeline.vocabulary())
     rows = tokens.collect()
     assert len(rows) == mixed.count()
     for r in rows:

@@ -13,7 +13,7 @@ TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversati
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
