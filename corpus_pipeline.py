@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from drumlin.llm import bpe, langid, mixing, neardup, pii
 from drumlin.llm.common import staged, table, unused
-from drumlin.llm.queries import VOCABULARY
+from drumlin.llm.queries import vocabulary
 
 #: Least probability of the language found.
 SURE = 0.5
@@ -52,7 +52,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), VOCABULARY), VOCABULARY)
+    file = vocabulary()
+    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), file), file)
     return both.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("text"), 256).alias("decoded_sha256"),
