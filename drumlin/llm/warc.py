@@ -55,17 +55,16 @@ def _payload(html: Column) -> Column:
 def decided(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """page_id, url, payload, its digest, and ``refers_to``: the response's page_id, of those that revisit it.
 
-    Only digests are grouped, and combined before the shuffle. A page with many copies is one row there,
-    so the join can split its copies over many tasks.
+    Only digests are grouped, and combined before the shuffle; those that repeat are written to scratch.
+    Spark broadcasts them if they are small, so that payloads are not shuffled. Otherwise a page with many
+    copies is one row there, and the join can split its copies over many tasks.
     """
-    rows = pages.select("page_id", "url", _payload(F.col("html")).alias("payload")).withColumn(
-        "same", F.when(F.octet_length("payload") >= least, F.sha2("payload", 256))
-    )
-    tops = (
-        rows.where("same is not null").groupBy("same")
+    rows = pages.select("page_id", "url", _payload(F.col("html")).alias("payload")).withColumn("same", F.unhex(F.sha2("payload", 256)))
+    repeated = (
+        rows.where(F.octet_length("payload") >= least).groupBy("same")
         .agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1 and top is not null").drop("copies")
     )
-    again = rows.join(tops, "same", "left")
+    again = rows.join(staged(repeated, "warc-repeated"), "same", "left")
     other = F.col("top").isNotNull() & ~F.col("top").eqNullSafe(F.col("page_id"))
     return again.select(
         "page_id", "url", "payload", F.sha1(F.col("payload").cast("binary")).alias("digest"), F.when(other, F.col("top")).alias("refers_to")
@@ -209,10 +208,13 @@ def entries(found: DataFrame) -> DataFrame:
     bases = staged(totals.groupBy("file").applyInPandas(_bases, "file string, split long, stop long, base long"), "warc-bases")
     links = staged(
         found.where("begin is not null").join(bases, ["file", "split", "stop"]).selectExpr(
-            "file", "split", "base + begin as at", "base + out as out", "base + last as last", "stop"
+            "xxhash64(file) as file", "split", "base + begin as at", "base + out as out", "base + last as last", "stop"
         ).where("at < stop").drop("stop"),
         "warc-links",
     )
+    names, ids = bases.agg(F.count_distinct("file"), F.count_distinct(F.xxhash64("file"))).first()
+    if names != ids:
+        raise ValueError("two paths have the same hash: read the files apart")
     most = bases.groupBy("file").count().agg(F.max("count")).first()[0] or 1
     reached = links.where("at = 0").select("file", "at")
     jumps = links.select("file", "at", "out")
@@ -225,7 +227,8 @@ def entries(found: DataFrame) -> DataFrame:
     # A split is entered once, as offsets only grow.
     entered = links.join(reached, ["file", "at"], "left_semi").select("file", "split", "last", "out")
     earlier = "over (partition by file order by split rows between unbounded preceding and 1 preceding)"
-    return bases.join(entered, ["file", "split"], "left").selectExpr(
+    placed = bases.withColumnRenamed("file", "path").withColumn("file", F.xxhash64("path")).join(entered, ["file", "split"], "left")
+    return placed.drop("file").withColumnRenamed("path", "file").selectExpr(
         "file", "split", "base", f"last_value(last) ignore nulls {earlier} as at", f"coalesce(last_value(out) ignore nulls {earlier}, 0) as due"
     )
 
