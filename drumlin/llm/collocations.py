@@ -1,10 +1,10 @@
 """Phrase collocations, counted by HAT-tries.
 
 A text is lower-cased (A to Z), cut into pieces at ``.,;:!?`` and line ends, and those into words at
-blanks and tabs. Phrases of up to ``longest`` words are counted per language, a length at a time, over
-all texts. A phrase can be frequent only if what remains without its last or its first word is: the
-phrases of one length that are frequent set bits of a filter of fixed size, by hash, and the next pass
-skips what has no bit. A filter that fills up skips less, and never a frequent phrase.
+blanks and tabs. Phrases of up to ``longest`` words are counted per language, over all
+texts: words, then pairs, then longer ones. A phrase can be frequent only if its words and pairs are:
+frequent ones set bits of a filter of fixed size, by hash, and the next passes skip phrases with a word or pair that
+has no bit. A filter that fills up skips less, and never a frequent phrase.
 
 Each task counts in a HAT-trie: nodes by word id near the root, and below them hash containers of
 the rest of the phrase; one that grows too large bursts into containers by its next word. Beyond a
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drumlin.llm.common import chunks, staged, strings
+from drumlin.llm.neardup import mix
 
 LONGEST = 5
 LEAST = 100
@@ -40,6 +42,8 @@ BEST = 2000
 UNKNOWN = "und"
 #: Bytes of text handled at once.
 PART = 2_000_000
+#: Entries of a run, if a subtree has no more.
+RUN = 50_000
 SALTS = 64
 
 
@@ -85,66 +89,94 @@ def coded(texts: list[str], most: int = PART) -> Iterator[tuple[np.ndarray, np.n
             yield codes.astype(np.int64), words
 
 
-def bits(phrases: np.ndarray, lang: str, size: int) -> np.ndarray:
-    """The bit of each phrase (bytes) in a filter of that many bits."""
-    mixed = pd.util.hash_array(phrases, hash_key="drumlin-phrases-", categorize=False)
-    return (mixed ^ pd.util.hash_array(np.array([lang], object), categorize=False)[0]) % np.uint64(size)
+def hashes(words: np.ndarray, lang: str) -> np.ndarray:
+    """A number of 64 bits for each word (bytes) of a language."""
+    own = pd.util.hash_array(np.array([lang], object), categorize=False)
+    return pd.util.hash_array(words, categorize=False) ^ own
 
 
-def _has(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
+def joined(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hashes of phrases, each with a word more."""
+    with np.errstate(over="ignore"):
+        return mix(first * np.uint64(31) + last)
+
+
+def _has(filter_: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    at = phrase % np.uint64(8 * len(filter_))
     return (filter_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def phrases(codes: np.ndarray, words: np.ndarray, lang: str, filters: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different phrases of k words as rows of word numbers, those that the filters skip left out;
-    and how often each stands there."""
-    rows = np.arange(len(words), dtype=np.int64)[:, None]
-    at = np.flatnonzero(codes >= 0)
-    node = codes[at]  # the number of the phrase of n words that begins at a place
+def places(codes: np.ndarray, word: np.ndarray, filters: list[np.ndarray], k: int) -> np.ndarray:
+    """Where phrases of k words begin whose parts of fewer words all are in the filters (by length)."""
+    inside = codes >= 0
+    word = word[codes]
+    fine, phrase = inside, word
     for n in range(1, k):
-        texts = np.array([b" ".join(x) for x in words[rows]], object) if n > 1 else words
-        fine = _has(filters[n - 1], bits(texts, lang, 8 * len(filters[n - 1]))) if len(texts) else np.zeros(0, bool)
-        at, node = at[fine[node]], node[fine[node]]
-        # The phrase of n words that begins one word later has to be fine, too.
-        follows = np.flatnonzero(np.append(np.diff(at) == 1, False)) if len(at) else np.zeros(0, np.int64)
-        last = rows[node[follows + 1], -1] if len(follows) else np.zeros(0, np.int64)
-        key = node[follows] * len(words) + last
-        node, keys = pd.factorize(key)
-        at = at[follows]
-        rows = np.column_stack([rows[keys // max(1, len(words))], keys % max(1, len(words))]) if len(keys) else np.zeros((0, n + 1), np.int64)
-    counts = np.bincount(node, minlength=len(rows))
-    seen = counts > 0
-    return rows[seen], counts[seen], words
+        if n <= len(filters):
+            fine = fine.copy()
+            at = np.flatnonzero(fine)
+            fine[at] = _has(filters[n - 1], phrase[at])
+        # A phrase of n + 1 words: both of its parts of n words are there.
+        fine = fine[:-1] & fine[1:]
+        if n < k - 1 and n < len(filters):
+            phrase = joined(phrase[:-1], word[n:])
+    return np.flatnonzero(fine)
+
+
+def phrases(codes: np.ndarray, n_words: int, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different phrases of k words that begin at the places, as rows of word numbers, and their counts."""
+    rows, node = codes[at][:, None], codes[at]
+    if k > 1:
+        for n in range(1, k):
+            node, keys = pd.factorize(node * n_words + codes[at + n])
+            rows = np.column_stack([rows[keys // n_words] if n > 1 else keys // n_words, keys % n_words])
+        return rows, np.bincount(node, minlength=len(rows))
+    counts = np.bincount(node, minlength=n_words)
+    return np.flatnonzero(counts)[:, None], counts[counts > 0]
+
+
+class Node(dict):
+    """Subtrees by word id; a plain dictionary is a container, of counts by the rest of the phrase."""
 
 
 class HatTrie:
-    """Counts of phrases of k words of one language, as bytes of four to a word id."""
+    """Counts of phrases of k words of one language; four bytes stand for a word."""
 
     def __init__(self, k: int, burst: int = Sizes.burst):
         self.k = k
         self.burst = burst
+        self.clear()
+
+    def clear(self) -> None:
         self.ids: dict[bytes, int] = {}
         self.words: list[bytes] = []
-        self.children: dict[int, dict] = {}  # by word id: a container (keys are bytes) or a node (keys are ids)
-        self.sizes: dict[int, int] = {}
+        self.root: dict = {}  # a container, until it bursts
+        self.sizes: dict[int, int] = {}  # of the root's subtrees
         self.size = 0
 
     def add(self, rows: np.ndarray, counts: np.ndarray, words: np.ndarray) -> None:
         used, where = np.unique(rows, return_inverse=True)
-        own = np.array([self._id(w) for w in words[used]], ">u4")
+        own = np.array(list(map(self._id, words[used])), ">u4")
         keys = np.ascontiguousarray(own[where.reshape(rows.shape)])
-        raw, width = keys.tobytes(), 4 * self.k
-        for i, (first, count) in enumerate(zip(keys[:, 0].tolist(), counts.tolist(), strict=True)):
-            rest = raw[i * width + 4 : (i + 1) * width]
-            place = self.children.get(first)
-            if place is None:
-                place = self.children[first] = {}
-                self.sizes[first] = 0
-            if self._put(place, rest, count):
-                self.sizes[first] += 1
-                self.size += 1
-                if len(place) == self.burst and self.k > 2 and isinstance(next(iter(place)), bytes):
-                    self.children[first] = self._burst(place)
+        width = 4 * self.k
+        if type(self.root) is dict:
+            raw = keys.tobytes()
+            self.root, new = self._put(self.root, [raw[i : i + width] for i in range(0, len(raw), width)], counts.tolist())
+            self.size += new
+            if type(self.root) is Node:
+                self.sizes = {first: sum(1 for _ in self._below(part, b"")) for first, part in self.root.items()}
+            return
+        order = np.argsort(keys[:, 0], kind="stable")
+        raw = keys[order].tobytes()
+        ends = np.flatnonzero(np.append(np.diff(keys[order, 0].astype(np.int64)) != 0, True)) + 1
+        counts, start = counts[order].tolist(), 0
+        for end in ends.tolist():
+            first = int.from_bytes(raw[start * width : start * width + 4], "big")
+            rests = [raw[i + 4 : i + width] for i in range(start * width, end * width, width)]
+            self.root[first], new = self._put(self.root.get(first, {}), rests, counts[start:end])
+            self.sizes[first] = self.sizes.get(first, 0) + new
+            self.size += new
+            start = end
 
     def _id(self, word: bytes) -> int:
         found = self.ids.get(word)
@@ -153,98 +185,126 @@ class HatTrie:
             self.words.append(word)
         return found
 
-    def _put(self, place: dict, rest: bytes, count: int) -> bool:
-        """Adds to the container that the path leads to; whether the phrase is new."""
-        while place and isinstance(next(iter(place)), int):
-            number, rest = int.from_bytes(rest[:4], "big"), rest[4:]
-            if number not in place:
-                place[number] = {}
-            above, place = place, place[number]
-            if len(place) == self.burst and len(rest) > 4 and isinstance(next(iter(place)), bytes):
-                place = above[number] = self._burst(place)
-        old = place.get(rest)
-        place[rest] = count if old is None else old + count
-        return old is None
+    def _put(self, place: dict, rests: list[bytes], counts: list[int]) -> tuple[dict, int]:
+        """Adds phrases to a subtree; the subtree, burst if it is too large, and how many are new."""
+        if type(place) is dict:
+            before = len(place)
+            for rest, count in zip(rests, counts, strict=True):
+                place[rest] = place.get(rest, 0) + count
+            new = len(place) - before
+            return (self._burst(place) if len(place) >= self.burst and len(rests[0]) > 4 else place), new
+        below: dict[int, tuple[list[bytes], list[int]]] = {}
+        for rest, count in zip(rests, counts, strict=True):
+            part = below.setdefault(int.from_bytes(rest[:4], "big"), ([], []))
+            part[0].append(rest[4:])
+            part[1].append(count)
+        total = 0
+        for number, part in below.items():
+            place[number], new = self._put(place.get(number, {}), *part)
+            total += new
+        return place, total
 
     @staticmethod
-    def _burst(container: dict[bytes, int]) -> dict[int, dict]:
-        node: dict[int, dict] = {}
+    def _burst(container: dict[bytes, int]) -> Node:
+        node = Node()
         for rest, count in container.items():
             node.setdefault(int.from_bytes(rest[:4], "big"), {})[rest[4:]] = count
         return node
 
     def _below(self, place: dict, path: bytes) -> Iterator[tuple[bytes, int]]:
-        for key, value in place.items():
-            if isinstance(key, int):
-                yield from self._below(value, path + key.to_bytes(4, "big"))
-            else:
-                yield path + key, value
-
-    def run(self, first: int) -> pd.DataFrame:
-        """A subtree, taken out, in order of phrase."""
-        place = self.children.pop(first)
-        self.size -= self.sizes.pop(first)
-        found = list(self._below(place, first.to_bytes(4, "big")))
-        ids = np.frombuffer(b"".join(key for key, _ in found), ">u4").reshape(len(found), self.k)
-        words = [[self.words[i] for i in row] for row in ids.tolist()]
+        if type(place) is dict:
+            for rest, count in place.items():
+                yield path + rest, count
+        else:
+            for number, part in place.items():
+                yield from self._below(part, path + number.to_bytes(4, "big"))
+
+    def run(self, parts: list[tuple[bytes, dict]]) -> pd.DataFrame:
+        """The phrases of whole subtrees, in order of their words."""
+        found = [entry for path, place in parts for entry in self._below(place, path)]
+        ids = np.frombuffer(b"".join(key for key, _ in found), ">u4").reshape(len(found), self.k).astype(np.int64)
+        words = np.array([*self.words, b""], object)
+        rank = np.empty(len(words), np.int64)
+        rank[words.argsort()] = np.arange(len(words))
+        ids = ids[(order := np.lexsort(rank[ids].T[::-1]))]
         lead = max(self.k - 1, min(2, self.k))
-        rows = sorted((b" ".join(x[:lead]), b" ".join(x[lead:]), count) for x, (_, count) in zip(words, found, strict=True))
-        return pd.DataFrame(rows, columns=["prefix", "rest", "f"])
+        after = b" " + words
+        prefix, rest = words[ids[:, 0]], np.full(len(ids), b"", object)
+        for n in range(1, lead):
+            prefix = prefix + after[ids[:, n]]
+        for n in range(lead, self.k):
+            rest = words[ids[:, n]]
+        return pd.DataFrame({"prefix": prefix, "rest": rest, "f": np.array([c for _, c in found], np.int64)[order], "k": self.k})
 
     def spill(self, most: int) -> Iterator[pd.DataFrame]:
-        """Runs of the largest subtrees until ``most`` entries are left; small ones come together."""
-        held: list[pd.DataFrame] = []
+        """Runs of the largest subtrees until ``most`` entries are left; small ones share a run."""
+        if type(self.root) is dict:
+            if self.size > most:
+                yield self.run([(b"", self.root)])
+                self.clear()
+            return
+        held: list[tuple[bytes, dict]] = []
+        size = 0
         for first in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if self.size <= most:
                 break
-            held.append(self.run(first))
-            if sum(map(len, held)) >= self.burst:
-                yield pd.concat(held)
-                held = []
+            held.append((first.to_bytes(4, "big"), self.root.pop(first)))
+            n = self.sizes.pop(first)
+            size += n
+            self.size -= n
+            if size >= RUN:
+                yield self.run(held)
+                held, size = [], 0
         if held:
-            yield pd.concat(held)
+            yield self.run(held)
         if not self.size:
-            self.ids, self.words = {}, []
+            self.clear()
 
 
-def counted(docs: DataFrame, k: int, filters: list[np.ndarray], sizes: Sizes) -> DataFrame:
-    """lang, prefix, rest (both as bytes) and f of the phrases of k words that the filters let pass."""
+def counted(docs: DataFrame, lengths: tuple[int, ...], filters: list[np.ndarray], sizes: Sizes) -> DataFrame:
+    """lang, k, prefix, rest (both as bytes) and f of the phrases of so many words that the filters let pass."""
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tries: dict[str, HatTrie] = {}
+        tries: dict[tuple[str, int], HatTrie] = {}
 
         def spilled(most: int) -> Iterator[pd.DataFrame]:
-            for lang in sorted(tries, key=lambda x: tries[x].size, reverse=True):
-                others = sum(x.size for x in tries.values()) - tries[lang].size
-                for rows in tries[lang].spill(max(0, most - others)):
-                    yield rows.assign(lang=lang)
+            left = sum(x.size for x in tries.values())
+            for key in sorted(tries, key=lambda x: tries[x].size, reverse=True):
+                size = tries[key].size
+                for rows in tries[key].spill(max(0, most - (left - size))):
+                    yield rows.assign(lang=key[0])
+                left -= size - tries[key].size
 
         for batch in batches:
             for lang, rows in batch.groupby("lang"):
-                trie = tries.setdefault(lang, HatTrie(k, sizes.burst))
                 for codes, words in coded(strings(rows["text"])):
-                    found = phrases(codes, words, lang, sent.value, k)
-                    if len(found[0]):
-                        trie.add(*found)
+                    word = hashes(words, lang)
+                    for k in lengths:
+                        at = places(codes, word, sent.value, k)
+                        if len(at):
+                            trie = tries.setdefault((lang, k), HatTrie(k, sizes.burst))
+                            trie.add(*phrases(codes, len(words), at, k), words)
                     if sum(x.size for x in tries.values()) > sizes.entries:
                         yield from spilled(sizes.entries // 2)
         yield from spilled(0)
 
-    runs = docs.mapInPandas(run, "prefix binary, rest binary, f long, lang string")
-    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "rest").agg(F.sum("f").alias("f"))
+    runs = docs.mapInPandas(run, "prefix binary, rest binary, f long, k int, lang string")
+    return runs.repartition("lang", "prefix").groupBy("lang", "k", "prefix", "rest").agg(F.sum("f").alias("f"))
 
 
 def filtered(frequent: DataFrame, size: int) -> np.ndarray:
-    """The filter of frequent phrases: that many bits, whatever their number."""
+    """The filter of frequent phrases of one length: that many bits, whatever their number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, rows in batch.groupby("lang"):
-                at = np.unique(bits(rows["phrase"].to_numpy(object), lang, size)).astype(np.int64)
+                words = [x.encode().split(b" ") for x in rows["phrase"]]
+                columns = [hashes(np.array(x, object), lang) for x in zip(*words, strict=True)]
+                at = np.unique(reduce(joined, columns) % np.uint64(size)).astype(np.int64)
                 yield pd.DataFrame({"byte": at >> 3, "bit": 1 << (at & 7)})
 
-    rows = frequent.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInPandas(run, "byte int, bit int")
+    rows = frequent.select("lang", "phrase").mapInPandas(run, "byte int, bit int")
     found = rows.groupBy("byte").agg(F.bit_or("bit").alias("bit")).toPandas()
     out = np.zeros(size // 8, np.uint8)
     out[found["byte"]] = found["bit"]
@@ -256,16 +316,16 @@ def frequencies(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, siz
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     filters: list[np.ndarray] = []
     found = totals = None
-    for k in range(1, longest + 1):
-        counts = counted(texts, k, filters, sizes)
+    for lengths in ((1,), (2,), tuple(range(3, longest + 1))):
+        counts = counted(texts, lengths, filters, sizes)
         phrase = F.when(F.octet_length("rest") > 0, F.concat("prefix", F.lit(b" "), "rest")).otherwise(F.col("prefix"))
-        counts = counts.select("lang", F.lit(k).alias("k"), phrase.cast("string").alias("phrase"), "f")
-        if k == 1:
+        counts = counts.select("lang", "k", phrase.cast("string").alias("phrase"), "f")
+        if totals is None:
             counts = staged(counts, "phrases-words")
             totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-        frequent = staged(counts.where(F.col("f") >= least), f"phrases-{k}")
+        frequent = staged(counts.where(F.col("f") >= least), "phrases")
         found = frequent if found is None else found.unionByName(frequent)
-        if k < longest:
+        if lengths[-1] < 3:
             filters.append(filtered(frequent, sizes.bits))
     return found, totals
 
