@@ -9,8 +9,8 @@ has no bit. A filter that fills up skips less, and never a frequent phrase.
 Each task counts in a HAT-trie: nodes by word id near the root, and below them hash containers of
 the rest of the phrase; one that grows too large bursts into containers by its next word. Beyond a
 number of entries the largest subtrees are spilled whole, each as a run in order of phrase. Runs meet in the
-partition of their prefix, all but a phrase's last word (both words of a pair, so that a frequent first word is no
-hot partition), where Spark merges them.
+partition of their prefix, the first word, where Spark merges them. The subtree of a hot word, which is a
+share of its language or more, is dealt over many slots by the rest of the phrase; single words are by hash.
 
 Scores are decimals of 38 digits, so nothing is rounded. A longer candidate takes out the ones
 inside it that are no more frequent than itself; by steps of one word, since whatever stands between a
@@ -24,12 +24,14 @@ memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,9 @@ PART = 2_000_000
 #: Entries of a run, if a subtree has no more.
 RUN = 50_000
 SALTS = 64
+#: Share of a language's words from which a word is hot; slots of a hot word's phrases, and of single words.
+HOT = 1e-3
+HOT_SLOTS, WORD_SLOTS = 64, 1024
 
 
 @dataclass(frozen=True)
@@ -79,14 +84,15 @@ def coded(texts: list[str], most: int = PART) -> Iterator[tuple[np.ndarray, np.n
     for start, end in chunks(texts, most):
         whole = "\n".join(texts[start:end]).encode().translate(TABLE)
         for part in parts(whole, most):
-            tokens = pd.Series(part.replace(b"\n", b" \n ").split(b" "), dtype=object)
-            codes, words = pd.factorize(tokens.to_numpy(object))
+            whole_part = pa.array([part.replace(b"\n", b" \n ")], pa.binary())
+            tokens = pc.split_pattern(whole_part, pattern=b" ").flatten().dictionary_encode()
+            codes, words = tokens.indices.to_numpy().astype(np.int64), np.array(tokens.dictionary.to_pylist(), object)
             skip, ends = (np.flatnonzero(words == x) for x in (b"", b"\n"))
             if len(skip):
                 codes = codes[codes != skip[0]]
             if len(ends):
                 codes = np.where(codes == ends[0], -1, codes)
-            yield codes.astype(np.int64), words
+            yield codes, words
 
 
 def hashes(words: np.ndarray, lang: str) -> np.ndarray:
@@ -106,7 +112,7 @@ def _has(filter_: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     return (filter_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def places(codes: np.ndarray, word: np.ndarray, filters: list[np.ndarray], k: int) -> np.ndarray:
+def places(codes: np.ndarray, word: np.ndarray, filters: Sequence[np.ndarray], k: int) -> np.ndarray:
     """Where phrases of k words begin whose parts of fewer words all are in the filters (by length)."""
     inside = codes >= 0
     word = word[codes]
@@ -219,29 +225,14 @@ class HatTrie:
             for number, part in place.items():
                 yield from self._below(part, path + number.to_bytes(4, "big"))
 
-    def run(self, parts: list[tuple[bytes, dict]]) -> pd.DataFrame:
-        """The phrases of whole subtrees, in order of their words."""
-        found = [entry for path, place in parts for entry in self._below(place, path)]
-        ids = np.frombuffer(b"".join(key for key, _ in found), ">u4").reshape(len(found), self.k).astype(np.int64)
-        words = np.array([*self.words, b""], object)
-        rank = np.empty(len(words), np.int64)
-        rank[words.argsort()] = np.arange(len(words))
-        ids = ids[(order := np.lexsort(rank[ids].T[::-1]))]
-        lead = max(self.k - 1, min(2, self.k))
-        after = b" " + words
-        prefix, rest = words[ids[:, 0]], np.full(len(ids), b"", object)
-        for n in range(1, lead):
-            prefix = prefix + after[ids[:, n]]
-        for n in range(lead, self.k):
-            rest = words[ids[:, n]]
-        return pd.DataFrame({"prefix": prefix, "rest": rest, "f": np.array([c for _, c in found], np.int64)[order], "k": self.k})
-
-    def spill(self, most: int) -> Iterator[pd.DataFrame]:
+    def spill(self, most: int, lang: str = UNKNOWN, hot: frozenset[bytes] = frozenset()) -> Iterator[pd.DataFrame]:
         """Runs of the largest subtrees until ``most`` entries are left; small ones share a run."""
+        if self.size <= most:
+            return
+        table = WordTable(self.words, lang, hot)
         if type(self.root) is dict:
-            if self.size > most:
-                yield self.run([(b"", self.root)])
-                self.clear()
+            yield self.run([(b"", self.root)], table)
+            self.clear()
             return
         held: list[tuple[bytes, dict]] = []
         size = 0
@@ -253,26 +244,81 @@ class HatTrie:
             size += n
             self.size -= n
             if size >= RUN:
-                yield self.run(held)
+                yield self.run(held, table)
                 held, size = [], 0
         if held:
-            yield self.run(held)
+            yield self.run(held, table)
         if not self.size:
             self.clear()
 
+    def run(self, parts: list[tuple[bytes, dict]], table: WordTable) -> pd.DataFrame:
+        """A row for each first word and slot: its phrases in order, as the lines of one text, and their counts."""
+        found = [entry for path, place in parts for entry in self._below(place, path)]
+        ids = np.frombuffer(b"".join(key for key, _ in found), ">u4").reshape(len(found), self.k).astype(np.int64)
+        counts = np.array([c for _, c in found], np.int64)
+        if self.k == 1:
+            first, slot = np.zeros(len(ids), np.int64), (table.hashes[ids[:, 0]] % np.uint64(WORD_SLOTS)).astype(np.int64)
+            lead = np.array([b""], object)
+        else:
+            first, lead = ids[:, 0], table.words
+            rest = reduce(joined, table.hashes[ids[:, 1:]].T)
+            slot = np.where(table.hot[first], (rest % np.uint64(HOT_SLOTS)).astype(np.int64), 0)
+            ids = ids[:, 1:]
+        order = np.lexsort([*table.rank[ids].T[::-1], slot, first])
+        first, slot, ids, counts = first[order], slot[order], ids[order], counts[order]
+        phrase = table.words[ids[:, 0]]
+        for n in range(1, ids.shape[1]):
+            phrase = phrase + table.after[ids[:, n]]
+        phrase = phrase.tolist()
+        starts = np.flatnonzero(np.append(True, (np.diff(first) != 0) | (np.diff(slot) != 0)))
+        spans = list(zip(starts.tolist(), [*starts[1:].tolist(), len(first)], strict=True))
+        return pd.DataFrame(
+            {
+                "prefix": lead[first[starts]],
+                "slot": slot[starts],
+                "rests": [b"\n".join(phrase[a:b]) for a, b in spans],
+                "counts": [counts[a:b] for a, b in spans],
+                "k": self.k,
+            }
+        )
+
+
+class WordTable:
+    """A task's words in arrays: with their order, their hashes, and which are hot."""
 
-def counted(docs: DataFrame, lengths: tuple[int, ...], filters: list[np.ndarray], sizes: Sizes) -> DataFrame:
-    """lang, k, prefix, rest (both as bytes) and f of the phrases of so many words that the filters let pass."""
-    sent = docs.sparkSession.sparkContext.broadcast(filters)
+    def __init__(self, words: list[bytes], lang: str, hot: frozenset[bytes]):
+        self.words = np.array([*words, b""], object)[:-1]
+        self.after = b" " + self.words
+        self.rank = np.empty(len(words), np.int64)
+        self.rank[self.words.argsort()] = np.arange(len(words))
+        self.hashes = hashes(self.words, lang)
+        self.hot = np.array([w in hot for w in words], bool)
+
+
+RUNS = "prefix binary, slot int, rests binary, counts array<long>, k int, lang string"
+
+
+@dataclass(frozen=True)
+class Known:
+    """What a pass knows of the ones before: filters by length, and the hot words of each language."""
+
+    filters: tuple[np.ndarray, ...] = ()
+    hot: dict[str, frozenset[bytes]] = field(default_factory=dict)
+
+
+def counted(docs: DataFrame, lengths: tuple[int, ...], known: Known, sizes: Sizes) -> DataFrame:
+    """lang, k, phrase and f of the phrases of so many words that the filters let pass."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tries: dict[tuple[str, int], HatTrie] = {}
+        filters, hot = sent.value.filters, sent.value.hot
 
         def spilled(most: int) -> Iterator[pd.DataFrame]:
             left = sum(x.size for x in tries.values())
             for key in sorted(tries, key=lambda x: tries[x].size, reverse=True):
                 size = tries[key].size
-                for rows in tries[key].spill(max(0, most - (left - size))):
+                for rows in tries[key].spill(max(0, most - (left - size)), key[0], hot.get(key[0], frozenset())):
                     yield rows.assign(lang=key[0])
                 left -= size - tries[key].size
 
@@ -281,7 +327,7 @@ def counted(docs: DataFrame, lengths: tuple[int, ...], filters: list[np.ndarray]
                 for codes, words in coded(strings(rows["text"])):
                     word = hashes(words, lang)
                     for k in lengths:
-                        at = places(codes, word, sent.value, k)
+                        at = places(codes, word, filters, k)
                         if len(at):
                             trie = tries.setdefault((lang, k), HatTrie(k, sizes.burst))
                             trie.add(*phrases(codes, len(words), at, k), words)
@@ -289,8 +335,13 @@ def counted(docs: DataFrame, lengths: tuple[int, ...], filters: list[np.ndarray]
                         yield from spilled(sizes.entries // 2)
         yield from spilled(0)
 
-    runs = docs.mapInPandas(run, "prefix binary, rest binary, f long, k int, lang string")
-    return runs.repartition("lang", "prefix").groupBy("lang", "k", "prefix", "rest").agg(F.sum("f").alias("f"))
+    # The partition of a prefix merges its runs: their phrases are grouped without another shuffle.
+    runs = docs.mapInPandas(run, RUNS).repartition("lang", "k", "prefix", "slot")
+    rest = F.split(F.col("rests").cast("string"), "\n")
+    single = runs.select("lang", "k", "prefix", "slot", F.inline(F.arrays_zip(rest.alias("rest"), F.col("counts").alias("f"))))
+    merged = single.groupBy("lang", "k", "prefix", "slot", "rest").agg(F.sum("f").alias("f"))
+    lead = F.col("prefix").cast("string")
+    return merged.select("lang", "k", F.when(F.col("k") == 1, F.col("rest")).otherwise(F.concat(lead, F.lit(" "), "rest")).alias("phrase"), "f")
 
 
 def filtered(frequent: DataFrame, size: int) -> np.ndarray:
@@ -314,22 +365,29 @@ def filtered(frequent: DataFrame, size: int) -> np.ndarray:
 def frequencies(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
     """lang, k, phrase, f of all phrases found ``least`` times or more; and lang, n: all its words."""
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    filters: list[np.ndarray] = []
-    found = totals = None
+    known, found, totals = Known(), None, None
     for lengths in ((1,), (2,), tuple(range(3, longest + 1))):
-        counts = counted(texts, lengths, filters, sizes)
-        phrase = F.when(F.octet_length("rest") > 0, F.concat("prefix", F.lit(b" "), "rest")).otherwise(F.col("prefix"))
-        counts = counts.select("lang", "k", phrase.cast("string").alias("phrase"), "f")
+        counts = counted(texts, lengths, known, sizes)
         if totals is None:
             counts = staged(counts, "phrases-words")
-            totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
+            totals = staged(counts.groupBy("lang").agg(F.sum("f").alias("n")), "phrases-totals")
         frequent = staged(counts.where(F.col("f") >= least), "phrases")
         found = frequent if found is None else found.unionByName(frequent)
         if lengths[-1] < 3:
-            filters.append(filtered(frequent, sizes.bits))
+            hot = known.hot or hot_words(frequent, totals)
+            known = Known((*known.filters, filtered(frequent, sizes.bits)), hot)
     return found, totals
 
 
+def hot_words(words: DataFrame, totals: DataFrame) -> dict[str, frozenset[bytes]]:
+    """The words that are a share of ``HOT`` or more of a language: at most 1 / HOT of them."""
+    rows = words.join(totals, "lang").where(F.col("f") >= F.col("n") * HOT).select("lang", "phrase").collect()
+    found: dict[str, set[bytes]] = {}
+    for row in rows:
+        found.setdefault(row.lang, set()).add(row.phrase.encode())
+    return {lang: frozenset(x) for lang, x in found.items()}
+
+
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:
     """lang, k, phrase, a, l, r, n, score of every candidate, by its lowest-scoring cut."""
     words = F.split("phrase", " ")

@@ -74,17 +74,22 @@ def test_trie_counts_like_a_dictionary():
             trie.add(part, n, words)
             for row, c in zip(part.tolist(), n.tolist(), strict=True):
                 want[b" ".join(words[row])] += c
-            for run in trie.spill(50):
-                assert list(zip(run["prefix"], run["rest"])) == sorted(zip(run["prefix"], run["rest"]))
-                for prefix, rest, f, _ in run.itertuples(index=False):
-                    got[prefix + (b" " + rest if rest else b"")] += f
+            for run in trie.spill(50, hot=frozenset([b"w3"])):
+                unpack(run, got)
             assert trie.size <= 50
         for run in trie.spill(0):
-            for prefix, rest, f, _ in run.itertuples(index=False):
-                got[prefix + (b" " + rest if rest else b"")] += f
+            unpack(run, got)
         assert got == want and not trie.size and not trie.root
 
 
+def unpack(run, got):
+    for prefix, _, rests, counts, _ in run.itertuples(index=False):
+        rests = rests.split(b"\n")
+        assert rests == sorted(rests) and len(rests) == len(counts)
+        for rest, f in zip(rests, counts.tolist(), strict=True):
+            got[prefix + b" " + rest if prefix else rest] += f
+
+
 def test_long_text_is_cut_between_pieces():
     text = "a b c. " * 40 + "d " * 60 + "; e f"
     seen = Counter()
