@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +39,13 @@ def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def give_back() -> None:
+    """Returns what a partition has freed to the system: Spark uses its Python workers again."""
+    gc.collect()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def strings(values: Iterable[object]) -> list[str]:
     """Texts of a column; null becomes the empty text."""
     return [x if isinstance(x, str) else "" for x in values]

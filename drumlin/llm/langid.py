@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import strings
+from drumlin.llm.common import give_back, strings
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 #: Unseen words a worker remembers.
-MEMO = 300_000
+MEMO = 100_000
 SMOOTHING = 0.5
 
 
@@ -48,10 +48,10 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Languages, the row of each word (order 0) and n-gram, and a row of log frequencies each."""
+    """Languages, the row of each word (order 0) and n-gram by order, and a row of log frequencies each."""
 
     langs: list[str]
-    rows: dict[tuple[int, str], int]
+    rows: list[dict[str, int]]
     logs: np.ndarray
     longest: int
 
@@ -60,9 +60,11 @@ def fit(counts: pd.DataFrame, longest: int) -> Model:
     """counts: lang, n (0: word), gram, count."""
     langs = sorted(set(counts["lang"]))
     keys = counts[["n", "gram"]].drop_duplicates().sort_values(["n", "gram"])
-    rows = {key: i for i, key in enumerate(zip(keys["n"].tolist(), keys["gram"].tolist(), strict=True))}
-    table = np.zeros((len(rows), len(langs)))
-    at = [rows[key] for key in zip(counts["n"].tolist(), counts["gram"].tolist(), strict=True)]
+    rows: list[dict[str, int]] = [{} for _ in range(longest + 1)]
+    for i, (n, gram) in enumerate(zip(keys["n"].tolist(), keys["gram"].tolist(), strict=True)):
+        rows[n][gram] = i
+    table = np.zeros((len(keys), len(langs)))
+    at = [rows[n][gram] for n, gram in zip(counts["n"].tolist(), counts["gram"].tolist(), strict=True)]
     table[at, [langs.index(x) for x in counts["lang"]]] = counts["count"]
     order = keys["n"].to_numpy()
     for n in set(order.tolist()):
@@ -100,17 +102,17 @@ def train(docs: DataFrame, *, docs_per_lang: int = 800, longest: int = 4, seed:
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.known = {w: i for (n, w), i in model.rows.items() if not n}
+        self.known = model.rows[0]
         self.forget()
 
     def forget(self) -> None:
-        self.rows = dict(self.known)
+        self.rows: dict[str, int] = {}  # of unseen words
         self.logs = self.model.logs
         self.size = len(self.logs)
 
     def unseen(self, word: str) -> np.ndarray:
         for n in range(self.model.longest, 0, -1):
-            at = [i for g in grams(word, n) if (i := self.model.rows.get((n, g))) is not None]
+            at = [i for g in grams(word, n) if (i := self.model.rows[n].get(g)) is not None]
             if at:
                 return self.model.logs[at].mean(axis=0)
         return np.zeros(len(self.model.langs), np.float32)
@@ -128,13 +130,15 @@ class Scorer:
         found = words(text)
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
-        new = {w for w in found if w not in self.rows}
+        known, rows = self.known, self.rows
+        new = {w for w in found if w not in known and w not in rows}
         if new:
-            if len(self.rows) - len(self.known) > MEMO:
+            if len(rows) + len(new) > MEMO:
                 self.forget()
-                new = {w for w in found if w not in self.rows}
+                rows = self.rows
+                new = {w for w in found if w not in known}
             self.learn(new)
-        at = [self.rows[w] for w in found]
+        at = [known[w] if w in known else rows[w] for w in found]
         sums = self.logs[at].sum(axis=0, dtype=np.float64)
         best = int(sums.argmax())
         return self.model.langs[best], float(1 / np.exp(sums - sums[best]).sum())
@@ -154,6 +158,8 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             batch["lang_pred"] = [x for x, _ in found]
             batch["score"] = [x for _, x in found]
             yield batch
+        del scorer
+        give_back()
 
     return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInPandas(run, T.StructType(fields + results))
 
