@@ -44,11 +44,15 @@ class IncompletePull(ValueError):
 
 @dataclass(frozen=True)
 class LoadSummary:
+    """What a load did. ``touched_dates`` are the event dates of old and new images up to the load's own
+    time, ``first_later_date`` is the first one after it ("" if there is none)."""
+
     input_rows: int = 0
     distinct_keys: int = 0
     inserted: int = 0
     updated: int = 0
     touched_dates: tuple[str, ...] = ()
+    first_later_date: str = ""
 
 
 def read_raw(spark: SparkSession, root: str, parts=None) -> DataFrame:
@@ -221,7 +225,7 @@ def _apply(
     )
     updated = counts.distinct_keys - counts.inserted if update else 0
     return LoadSummary(
-        counts.input_rows, counts.distinct_keys, counts.inserted, updated, tuple(dates)
+        counts.input_rows, counts.distinct_keys, counts.inserted, updated, tuple(dates), later
     )
 
 

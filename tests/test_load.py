@@ -24,7 +24,9 @@ def test_insert_then_update(spark, folder):
                   ingestion_timestamp="2024-02-06T00:00:00Z")
     second = load(spark, folder, [moved, event("d"), event("d", event_type="error")], load_ts=DAY2)
     assert (second.input_rows, second.distinct_keys, second.inserted, second.updated) == (3, 2, 1, 1)
-    assert second.touched_dates == ("2024-02-01", "2024-02-05")
+    # The day the event moved to is after the load's own time.
+    assert (second.touched_dates, second.first_later_date) == (("2024-02-01",), "2024-02-05")
+    assert first.first_later_date == ""
     rows = shown(read_raw(spark, folder))
     assert sorted(rows) == ["a", "b", "c", "d"]
     a = rows["a"]
