@@ -12,9 +12,13 @@ from drumlin.operators import facets
 
 def fact_daily(staging: DataFrame, as_of=None) -> DataFrame:
     dated = staging.withColumn("metric_date", F.to_date("event_timestamp"))
+    return fold(facets.value_counts(dated, GRAIN), as_of)
+
+
+def fold(counts: DataFrame, as_of=None) -> DataFrame:
+    """The fact from counts by grain, facet and value."""
     daily = (
-        facets.value_counts(dated, GRAIN)
-        .groupBy(*GRAIN)
+        counts.groupBy(*GRAIN)
         .agg(
             *[facets.mode(name).alias(name) for name in ("device_model", "os_version", "country")],
             facets.event_count().alias("event_count"),

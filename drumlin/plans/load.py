@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drumlin.contract import EARLIEST, RAW
-from drumlin.functions.clock import instant, utc
+from drumlin.functions.clock import instant, text as clock_text, utc
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import UPDATE, collapse, new_value
+from drumlin.plans import key_index
 from drumlin.session import discard, scratch, write_scratch
 from drumlin.sources import pages as page_source
 from drumlin.sources import tables
@@ -21,6 +22,8 @@ from drumlin.sources import tables
 # Raw rows stay in the partition of their first load: an update never changes created_at.
 PARTITION = "created_date"
 KEY = "event_id"
+# Note under which a version keeps the time of its load.
+LOADED_AT = "loaded_at"
 
 
 class LoadRejected(ValueError):
@@ -130,29 +133,19 @@ def load_rows(
 ) -> LoadSummary:
     """Upsert checked raw rows, rewriting only the partitions that hold a matched key.
 
-    Matched keys are found by reading the table's narrow columns, limited to the
-    batch's key range; files are sorted by key, so row groups outside the range
-    are skipped. The staged changes then hold whole new rows, and the touched
+    The key index names the partitions that may hold one of the batch's keys; of these
+    alone the narrow columns are read, within the batch's key range. The staged changes then hold whole new rows, and the touched
     partitions are only filtered by key: their payloads never join anything.
     """
     before = tables.latest(spark, root)
     target = tables.read(spark, root, RAW, before.parts, PARTITION)
     columns = [c for c in RAW.names if c not in (KEY, "created_at")]
 
-    low, high = batch.agg(F.min(KEY), F.max(KEY)).first()
-    if low is None:
+    if batch.isEmpty():
         return LoadSummary()
     changes = collapse(batch, KEY, columns, update, order)
     if before.parts:
-        near = target.filter(F.col(KEY).between(low, high))
-        known = near.select(
-            KEY,
-            PARTITION,
-            F.col("timestamp").alias("old_timestamp"),
-            F.struct(*_kept_columns(update)).alias("kept"),
-        )
-        hits = known.join(batch.select(KEY).distinct(), KEY, "left_semi")
-        changes = changes.join(hits, KEY, "left")
+        changes = changes.join(matched(spark, root, before, batch, update), KEY, "left")
     else:
         kept = T.StructType([RAW[name] for name in _kept_columns(update)])
         changes = changes.withColumns(
@@ -170,6 +163,26 @@ def load_rows(
         discard(spark, work)
 
 
+def matched(
+    spark: SparkSession, root: str, before: tables.Version, batch: DataFrame, update: Sequence[str] = UPDATE
+) -> DataFrame:
+    """The table's rows with a key of the batch: partition, old time and what an update keeps.
+
+    Only partitions that the key index names are read, and of their files, which are sorted by key,
+    the row groups within the batch's key range.
+    """
+    low, high = batch.agg(F.min(KEY), F.max(KEY)).first()
+    dates = set(key_index.dates_of(spark, root, before, batch))
+    near = tables.read(spark, root, RAW, [part for part in before.parts if part[0] in dates], PARTITION)
+    known = near.filter(F.col(KEY).between(low, high)).select(
+        KEY,
+        PARTITION,
+        F.col("timestamp").alias("old_timestamp"),
+        F.struct(*_kept_columns(update)).alias("kept"),
+    )
+    return known.join(batch.select(KEY).distinct(), KEY, "left_semi")
+
+
 def _kept_columns(update: Sequence[str]) -> list[str]:
     """What a matched row keeps of its old self."""
     kept = [c for c in RAW.names if c != KEY and c not in update]
@@ -216,11 +229,19 @@ def _apply(
     new_parts = tables.write(written, root, PARTITION, KEY)
 
     dates, later = _touched_dates(changes, update, load_ts)
+    added = changes.filter(is_new).select(KEY, F.to_date(load_time).alias(PARTITION))
+    key_index.extend(spark, root, before, added)
     tables.publish(
         spark,
         root,
         tables.replace_parts(before.parts, new_parts, touched),
-        {**before.notes, **(notes or {}), "touched": ",".join(dates), "touched_later": later},
+        {
+            **before.notes,
+            **(notes or {}),
+            "touched": ",".join(dates),
+            "touched_later": later,
+            LOADED_AT: clock_text(load_ts),
+        },
         base=before,
     )
     updated = counts.distinct_keys - counts.inserted if update else 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,22 +40,29 @@ def scratch(spark: SparkSession, label: str) -> str:
 SHREDDING = "spark.sql.variant.writeShredding.enabled"
 
 
-def write_scratch(df: DataFrame, path: str) -> DataFrame:
-    """Write rows to shared scratch and read them back: the work before is not repeated.
-
-    Scratch keeps VARIANT columns whole. Splitting them into typed columns, as
-    the tables do, pays off for readers of single keys, of which scratch has none.
-    """
-    spark = df.sparkSession
+@contextmanager
+def unshredded(spark: SparkSession) -> Iterator[None]:
+    """VARIANT columns written meanwhile stay whole."""
     before = spark.conf.get(SHREDDING, None)
     spark.conf.set(SHREDDING, "false")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(SHREDDING)
         else:
             spark.conf.set(SHREDDING, before)
+
+
+def write_scratch(df: DataFrame, path: str) -> DataFrame:
+    """Write rows to shared scratch and read them back: the work before is not repeated.
+
+    Scratch keeps VARIANT columns whole. Splitting them into typed columns, as
+    the tables do, pays off for readers of single keys, of which scratch has none.
+    """
+    spark = df.sparkSession
+    with unshredded(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

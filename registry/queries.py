@@ -11,11 +11,12 @@ from drumlin.contract import GRAIN, RAW, RAW_DEFAULTS
 from drumlin.operators import profile, quality
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE, upsert
-from drumlin.plans import daily_run, dimension, fact, load, refresh
+from drumlin.plans import daily_run, dimension, fact, fact_state, feed, load, refresh
 from drumlin.plans.staging import stage
 from drumlin.session import scratch, write_scratch
 from drumlin.sources import pages
 from drumlin.sources.seed import SEED_SOURCE, SEED_STATUS
+from drumlin.streaming import fact as stream
 from drumlin.streaming.load import load_stream, page_table_stream
 from registry import fixture
 from registry.fixture import AS_OF, LOADED, RELOADED, SOURCE
@@ -334,7 +335,55 @@ def dim_incremental(spark, sf_dir):
     return _plain(refresh.read_devices(spark, _refreshed(spark, sf_dir)))
 
 
+def _two_loads(spark: SparkSession, sf_dir: str, after=lambda layout: None) -> refresh.Layout:
+    """A first load and a second one on top of it, each recorded in the change feed."""
+    layout = _new_layout(spark)
+    first, second = fixture.raw_table(spark, sf_dir), fixture.late_batch(spark, sf_dir)
+    for rows, order, time in ((first, "event_id", LOADED), (second, "n", RELOADED)):
+        load.load_rows(spark, rows, layout.raw, order=[order], load_ts=time)
+        feed.record(spark, layout.raw)
+        after(layout)
+    return layout
+
+
+def change_feed(spark, sf_dir):
+    """What the second load changed, with both images."""
+    rows = feed.read(spark, _two_loads(spark, sf_dir).raw, after=1)
+    images = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("old", "new") for c in ("device_id", "created_at")]
+    # Some devices' clocks are past the year 9999, for which Python has no date.
+    images += [F.unix_micros(f"{side}.timestamp").alias(f"{side}_micros") for side in ("old", "new")]
+    values = [
+        F.variant_get(F.col(f"{side}.payload"), "$.metric_value", "decimal(38,18)").alias(f"{side}_metric_value") for side in ("old", "new")
+    ]
+    return _plain(rows.select("event_id", "op", *images, *values))
+
+
+def raw_as_of(spark, sf_dir):
+    """The raw table between the two loads, from the feed."""
+    return _raw_columns(feed.raw_as_of(spark, _two_loads(spark, sf_dir).raw, "2024-01-25 12:00:00"))
+
+
+def fact_by_deltas(spark, sf_dir):
+    """The fact after two loads and a later clock, by corrected counts."""
+    times = iter(("2024-01-24 06:00:00", AS_OF))
+    layout = _two_loads(spark, sf_dir, lambda layout: fact_state.apply(spark, layout, next(times)))
+    return _plain(fact_state.read_fact(spark, layout))
+
+
+def stream_fact(spark, sf_dir):
+    """The same by a stream; the second load changes days that are closed."""
+    times = iter(("2024-01-25 06:00:00", AS_OF))
+    layout = _two_loads(
+        spark, sf_dir, lambda layout: stream.advance(spark, layout, f"{layout.root}/stream", next(times))
+    )
+    return _plain(stream.read_fact(spark, layout))
+
+
 QUERIES: dict[str, Query] = {
+    "change_feed": change_feed,
+    "raw_as_of": raw_as_of,
+    "fact_by_deltas": fact_by_deltas,
+    "stream_fact": stream_fact,
     "stage_clean": stage_clean,
     "fact_daily": _fact,
     "fact_mode_attributes": fact_mode_attributes,
