@@ -11,7 +11,7 @@ from drumlin.contract import GRAIN, RAW, RAW_DEFAULTS
 from drumlin.operators import profile, quality
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE, upsert
-from drumlin.plans import daily_run, dimension, fact, fact_state, feed, load, refresh
+from drumlin.plans import daily_run, dimension, fact, fact_state, feed, history, load, refresh
 from drumlin.plans.staging import stage
 from drumlin.session import scratch, write_scratch
 from drumlin.sources import pages
@@ -370,6 +370,13 @@ def fact_by_deltas(spark, sf_dir):
     return _plain(fact_state.read_fact(spark, layout))
 
 
+def dim_history(spark, sf_dir):
+    """The device history after two loads, the second of which brings events late."""
+    times = iter(("2024-01-24 06:00:00", AS_OF))
+    layout = _two_loads(spark, sf_dir, lambda layout: history.refresh(spark, layout, next(times)))
+    return _plain(history.read_history(spark, layout))
+
+
 def stream_fact(spark, sf_dir):
     """The same by a stream; the second load changes days that are closed."""
     times = iter(("2024-01-25 06:00:00", AS_OF))
@@ -384,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "raw_as_of": raw_as_of,
     "fact_by_deltas": fact_by_deltas,
     "stream_fact": stream_fact,
+    "dim_history": dim_history,
     "stage_clean": stage_clean,
     "fact_daily": _fact,
     "fact_mode_attributes": fact_mode_attributes,
