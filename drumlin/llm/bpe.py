@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import give_back, strings
+from drumlin.llm.common import held, strings
 
 END = "</w>"
 #: The pre-tokenizer's pattern and Unicode's white space, as the vocabulary file has them.
@@ -253,16 +253,13 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", ids: str = "
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # One for each partition: a worker that Spark uses again for another stage has to be free of it.
-        encoder = Encoder(content.value)
+        encoder = held(f"bpe-{hash(content.value)}", lambda: Encoder(content.value))
         for whole in batches:
             for batch in _slices(whole, 1000):
                 offsets, values = encoder.encode(strings(batch.column(len(keep)).to_pylist()))
                 arrays = [batch.column(i) for i in range(len(keep))]
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, ids])
-        del encoder
-        give_back()
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text)).mapInArrow(run, schema)
 

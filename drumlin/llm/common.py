@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import suppress
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,9 @@ from drumlin.session import scratch
 CHUNK_CHARS = 4_000_000
 
 
+T = TypeVar("T")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,8 +43,20 @@ def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps between partitions: one thing, as the next stage uses the same worker."""
+    if name not in _HELD:
+        give_back()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def give_back() -> None:
-    """Returns what a partition has freed to the system: Spark uses its Python workers again."""
+    """Frees what the worker held for another stage, and returns free memory to the system."""
+    _HELD.clear()
     gc.collect()
     with suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

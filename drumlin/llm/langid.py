@@ -81,6 +81,7 @@ def train(docs: DataFrame, *, docs_per_lang: int = 800, longest: int = 4, seed:
     sample = labelled.join(F.broadcast(sizes), "lang").where(drawn < F.col("_share"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         found: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
@@ -152,6 +153,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     results = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         scorer = Scorer(sent.value)
         for batch in batches:
             found = [scorer.predict(x) for x in strings(batch[text])]
