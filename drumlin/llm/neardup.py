@@ -10,11 +10,13 @@ it is later than every register. Bands of equal registers make candidates; the o
 multisets decides: a link is a similarity of 0.8 or more. Classes are connected by links.
 
 Equal texts are one node. Every text is first verified against the best-looking one of its bands'
-leaders. Within bands that still hold more than one component, pairs of different components are
-compared by signature, in tiles: first each text is verified against the one that looks most like
-it, then what is still apart and looks alike, all pairs of it. So a group of copies never makes all
-its pairs. A pair of similarity 0.8 can be missed in two ways: it shares no band once in 300,000, and
-fewer than 60 of its 96 registers (``LIKELY``) agree once in 45,000, so that it is never verified.
+leaders. Within bands that still hold more than one component, texts of different components are
+compared by signature, in tiles, and a tile hands on the texts that look like one of another component,
+never pairs. Those meet once more with all their shingles: a tile counts the shingles its texts share,
+and hands on links that connect it, fewer than it has texts. A pair of similarity 0.8 can be missed in
+two ways: it shares no band once in 300,000, and fewer than 56 of its 96 registers (``LIKELY``) agree
+once in 2,800,000, so that it may never be verified. Shingles are 64-bit hashes: two of a pair are taken
+for one with probability below 1e-9 even if the texts have 100,000 words.
 
 Results for edge cases: a null text, or one without a word, is alone in its class; classes are
 named by their least doc_id; repeated rows get the same class; with no rows there are no classes.
@@ -25,7 +27,7 @@ texts two classes may have it. Deduplication goes by the classes themselves and
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,11 +40,13 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-#: Share of equal registers from which a pair is worth a look: over four standard errors below SIMILAR.
-LIKELY = 0.62
+#: Share of equal registers from which a pair is worth a look: over five standard errors below SIMILAR.
+LIKELY = 0.58
+#: Texts, and shingles, of half a tile: what a worker holds of a band at once.
 TILE = 2048
-#: Multisets a worker remembers while it verifies.
-BAGS = 64
+TILE_ITEMS = 1_000_000
+#: Rows of a tile whose shared shingles are counted at once, and shingles per matrix product.
+BLOCK = 512
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,6 +89,16 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[first][new], s[new], np.bincount(number)
 
 
+def items(texts: list[str]) -> list[np.ndarray]:
+    """Each text's multiset as a set of hashes: the k-th time a shingle comes is an item of its own."""
+    doc, shingle, weight = bags(texts)
+    again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    with np.errstate(over="ignore"):
+        every = mix(np.repeat(shingle, weight) + again.astype(np.uint64) * GOLDEN).view(np.int64)
+    ends = np.cumsum(np.bincount(np.repeat(doc, weight), minlength=len(texts)))
+    return np.split(every, ends[:-1]) if len(texts) else []
+
+
 def signatures(n: int, doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Earliest point in each register, (texts, REGISTERS); infinite for texts without a shingle."""
     found = np.full(n * REGISTERS, np.inf)
@@ -154,7 +168,7 @@ def node(text: Column) -> Column:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """node, bands and sig of each distinct text with a word."""
+    """node, bands, sig and size (its shingles) of each distinct text with a word."""
     rows = docs.where("text is not null").select(node(F.col("text")).alias("node"), "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +177,8 @@ def signed(docs: DataFrame) -> DataFrame:
             texts = strings(batch["text"])
             for start, end in chunks(texts, 2_000_000):
                 part = texts[start:end]
-                times = signatures(len(part), *bags(part))
+                doc, shingle, weight = bags(part)
+                times = signatures(len(part), doc, shingle, weight)
                 there = np.isfinite(times[:, 0]) | np.isfinite(times).any(axis=1)
                 if not there.any():
                     continue
@@ -173,10 +188,11 @@ def signed(docs: DataFrame) -> DataFrame:
                         "node": batch["node"].to_numpy()[start:end][there],
                         "bands": list(band_hashes(times)),
                         "sig": [x.tobytes() for x in short_signatures(times)],
+                        "size": np.bincount(doc, weight, len(part))[there].astype(np.int64),
                     }
                 )
 
-    return rows.mapInPandas(run, "node long, bands array<long>, sig binary").dropDuplicates(["node"])
+    return rows.mapInPandas(run, "node long, bands array<long>, sig binary, size long").dropDuplicates(["node"])
 
 
 def _likeness(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -194,35 +210,29 @@ def _likeness(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return both.mapInPandas(run, "a long, b long, like double")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, label: str) -> DataFrame:
-    """The pairs (a, b) of nodes whose multisets of shingles have the similarity."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-wanted")
+def itemised(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and items of the texts of wanted nodes."""
     texts = docs.where("text is not null").select(node(F.col("text")).alias("node"), "text")
-    texts = staged(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), f"{label}-texts")
-    # Many pairs share their a, few their b: joined last, it deals them out evenly.
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
-    )
+    texts = texts.join(wanted, "node", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, Counter] = {}
+        for batch in batches:
+            batch = batch.drop_duplicates("node")
+            texts = strings(batch["text"])
+            for start, end in chunks(texts, 2_000_000):
+                yield pd.DataFrame({"node": batch["node"].to_numpy()[start:end], "items": items(texts[start:end])})
 
-        def of(name: int, text: str) -> Counter:
-            if name not in held:
-                if len(held) >= BAGS:
-                    held.clear()
-                held[name] = bag(text)
-            return held[name]
+    return texts.mapInPandas(run, "node long, items array<long>").dropDuplicates(["node"])
 
-        for batch in batches:
-            kept = [
-                (a, b)
-                for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"], strict=True)
-                if similarity(of(a, x), of(b, y)) >= SIMILAR
-            ]
-            yield pd.DataFrame(kept, columns=["a", "b"])
 
-    return staged(both.mapInPandas(run, "a long, b long"), f"{label}-links")
+def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose multisets of shingles have the similarity."""
+    # Many pairs share their a, few their b: joined last, it deals them out evenly.
+    both = pairs.join(bags.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
+        bags.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
+    )
+    same = F.size(F.array_intersect("x", "y"))
+    return both.where(same / (F.size("x") + F.size("y") - same) >= SIMILAR).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,63 +254,120 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
-def _alike(rows: pd.DataFrame, best: bool) -> pd.DataFrame:
-    """Of whole tiles, the pairs of different components that look alike: all, or the best of each node."""
+def _alike(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of whole tiles, the rows that look like one of another component."""
     rows = rows.sort_values(["tile", "node"], kind="stable")
     x = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(rows), REGISTERS)
-    tile, node, part, cut, wide = (rows[c].to_numpy() for c in ("tile", "node", "part", "cut", "wide"))
-    found: list[tuple[np.ndarray, ...]] = []
-    top, partner = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+    tile, part, cut, wide = (rows[c].to_numpy() for c in ("tile", "part", "cut", "wide"))
+    like = np.zeros(len(rows), bool)
     for step in range(1, len(rows)):  # every row against the one so many places on in its tile
         there = np.flatnonzero(tile[step:] == tile[:-step])
         if not len(there):
             break
+        there = there[~(like[there] & like[there + step])]  # both are known to go on
         on = there + step
         fit = (part[there] != part[on]) & (~wide[there] | (cut[there] != cut[on]))
         there, on = there[fit], on[fit]
-        like = (x[there] == x[on]).mean(axis=1)
-        likely = like >= LIKELY
-        there, on, like = there[likely], on[likely], like[likely]
-        if not best:
-            found.append((node[there], node[on], like))
-            continue
-        for own, other in ((there, on), (on, there)):
-            better = like > top[own]
-            top[own[better]], partner[own[better]] = like[better], node[other[better]]
-    if best:
-        there = np.flatnonzero(top)
-        found.append((node[there], partner[there], top[there]))
-    columns = zip(*found, strict=True) if found else [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
-    return pd.DataFrame(dict(zip(("a", "b", "like"), map(np.concatenate, columns), strict=True)))
-
-
-def _comparing(best: bool):
-    """Compares rows that come in order of their tile."""
+        likely = (x[there] == x[on]).mean(axis=1) >= LIKELY
+        like[there[likely]] = like[on[likely]] = True
+    return rows[like].drop(columns="sig")
+
+
+def shared_items(bags: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """How many items each bag shares with every other, in blocks of rows from a first one."""
+    n = len(bags)
+    owner = np.repeat(np.arange(n), [len(x) for x in bags])
+    _, item, often = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    # Items of many bags by matrix products, of few by lists of their bags; of one bag not at all.
+    many = often > max(1, n // 8)
+    column = np.cumsum(many) - 1
+    on = many[item]
+    wide_row, wide_column = owner[on], column[item[on]]
+    by_column = np.argsort(wide_column, kind="stable")
+    wide_row, wide_column = wide_row[by_column], wide_column[by_column]
+    few = ~on & (often[item] > 1)
+    row, item = owner[few], item[few]
+    order = np.argsort(item, kind="stable")
+    holders = row[order]
+    first = np.searchsorted(item[order], item)
+    ends = np.searchsorted(row, np.arange(n + 1))
+    for start in range(0, n, BLOCK):
+        end = min(n, start + BLOCK)
+        counts = np.zeros((end - start, n))
+        for low in range(0, int(many.sum()), BLOCK):
+            a, z = np.searchsorted(wide_column, [low, low + BLOCK])
+            there = np.zeros((n, BLOCK), np.float32)
+            there[wide_row[a:z], wide_column[a:z] - low] = 1
+            counts += there[start:end] @ there.T
+        for i in range(start, end):
+            mine = slice(ends[i], ends[i + 1])
+            length = often_of = often[item[mine]]
+            if len(often_of):
+                at = np.repeat(first[mine] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+                counts[i - start] += np.bincount(holders[at], minlength=n)
+        yield start, counts
+
+
+def forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Pairs that connect what the symmetric matrix connects, fewer than it has rows."""
+    new, a, b = np.ones(len(near), bool), [], []
+    for root in range(len(near)):
+        open_ = [root] if new[root] else []
+        new[root] = False
+        while open_:
+            i = open_.pop()
+            found = np.flatnonzero(near[i] & new)
+            new[found] = False
+            a += [i] * len(found)
+            b += found.tolist()
+            open_ += found.tolist()
+    return a, b
+
+
+def _linked(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that connect whole tiles."""
+    out = []
+    for _, tile in rows.groupby("tile", sort=False):
+        node, part, size = tile["node"].to_numpy(), tile["part"].to_numpy(), tile["items"].str.len().to_numpy()
+        near = np.zeros((len(tile), len(tile)), bool)
+        for start, same in shared_items(list(tile["items"])):
+            end = start + len(same)
+            near[start:end] = (same / (size[start:end, None] + size - same) >= SIMILAR) & (part[start:end, None] != part)
+        a, b = forest(near)
+        out.append(pd.DataFrame({"a": node[a], "b": node[b]}))
+    return pd.concat(out)
+
+
+def _by_tile(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Work on whole tiles, one after the other."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+        held: list[pd.DataFrame] = []
         for batch in batches:
             if not len(batch):
                 continue
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            open_ = rows["tile"] == rows["tile"].iloc[-1]
-            held = rows[open_]
-            if not open_.all():
-                yield _alike(rows[~open_], best)
-        if held is not None:
-            yield _alike(held, best)
-
-    return run
-
-
-def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame, best: bool) -> DataFrame:
-    """Pairs of nodes that share a band, are in different components and look alike: all of them,
-    or for each node the one that looks most alike."""
-    placed = bands.join(parts, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
+            open_ = (batch["tile"] == batch["tile"].iloc[-1]).to_numpy()
+            if held and (not open_.all() or held[-1]["tile"].iloc[-1] != batch["tile"].iloc[-1]):
+                yield work(pd.concat([*held, batch[~open_]], ignore_index=True))
+                held = []
+            elif not open_.all():
+                yield work(batch[~open_])
+            held.append(batch[open_])
+        if held:
+            yield work(pd.concat(held, ignore_index=True))
+
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, schema)
+
+
+def across(bands: DataFrame, nodes: DataFrame, bags: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what shares a band, looks alike and is in different components."""
+    placed = bands.join(nodes.select("node", "size"), "node").join(parts, "node", "left").select(
+        "band", "node", "size", F.coalesce("component", "node").alias("part")
+    )
     sizes = (
         placed.groupBy("band")
         .agg(
-            F.count("*").alias("n"),
+            F.greatest(F.count("*") / TILE, F.sum("size") / TILE_ITEMS).alias("n"),
             F.min("part").alias("low"),
             F.max("part").alias("high"),
             F.bit_xor(F.xxhash64("node")).alias("who"),
@@ -310,7 +377,7 @@ def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame, best: bool) ->
     )
     # Bands with the same nodes need one look.
     sizes = sizes.groupBy("n", "who", "who2").agg(F.min("band").alias("band")).select(
-        "band", F.ceil(F.col("n") / TILE).cast("int").alias("cuts")
+        "band", F.ceil("n").cast("int").alias("cuts")
     )
     tiles = (
         placed.join(sizes, "band")
@@ -320,31 +387,34 @@ def _across(bands: DataFrame, sigs: DataFrame, parts: DataFrame, best: bool) ->
             F.xxhash64("band", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
             "node", "part", "cut", (F.col("cut") != F.col("other")).alias("wide"),
         )
-        .join(sigs, "node")
+        .join(nodes.select("node", "sig"), "node")
     )
     # A tile of two cuts compares across them only (wide); one of a single cut compares all.
-    ordered = tiles.repartition("tile").sortWithinPartitions("tile")
-    pairs = ordered.mapInPandas(_comparing(best), "a long, b long, like double")
-    if best:
-        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("like", "b")).alias("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    alike = _by_tile(tiles, _alike, "tile long, node long, part long, cut int, wide boolean")
+    alike = staged(alike.select("tile", "node", "part"), "bag-alike")
+    return _by_tile(alike.join(bags, "node"), _linked, "a long, b long")
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """Links (a, b) between different texts that connect every class."""
+def connected(docs: DataFrame) -> DataFrame:
+    """node, component of all nodes with a link."""
     nodes = staged(signed(docs), "bag-nodes")
     sigs = nodes.select("node", "sig")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("band", "a")
     shared = staged(bands.join(shared, "band"), "bag-shared")  # members of bands with two nodes or more
+    bags = staged(itemised(docs, shared.select("node").distinct()), "bag-items")
     pairs = shared.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     best = _likeness(pairs, sigs).where(F.col("like") >= LIKELY).groupBy("b").agg(F.max_by("a", F.struct("like", "a")).alias("a"))
-    found = verified(best, docs, "bag-first")
-    band_nodes = shared.select("band", "node")
-    for step, only_best in (("second", True), ("rest", False)):
-        more = staged(_across(band_nodes, sigs, components(found), only_best), f"bag-{step}-pairs")
-        found = found.unionByName(verified(more, docs, f"bag-{step}"))
-    return found
+    parts = staged(components(verified(best, bags)), "bag-parts")
+    more = staged(across(shared.select("band", "node"), nodes, bags, parts), "bag-links")
+    # Components of components: what is connected already is one node.
+    part = parts.withColumnRenamed("component", "part")
+    for end in ("a", "b"):
+        more = more.join(part.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("part", end)).drop("part")
+    wider = staged(components(more), "bag-wider")
+    into = wider.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    joined = parts.join(into, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return joined.unionByName(wider.join(parts, "node", "left_anti"))
 
 
 def wordless(text: Column) -> Column:
@@ -353,7 +423,7 @@ def wordless(text: Column) -> Column:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, node, part (the class itself; null if alone), class_id (its least doc_id) and class_size of every row."""
-    found = staged(components(links(docs)), "bag-classes")
+    found = staged(connected(docs), "bag-classes")
     # A text without a word, or null, is alone: its node is its row.
     rows = docs.select("doc_id", node(F.col("text")).alias("node"), wordless(F.col("text")).alias("alone"))
     named = rows.join(found, "node", "left").withColumn("part", F.when(~F.col("alone"), F.coalesce("component", "node")))

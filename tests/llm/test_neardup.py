@@ -137,3 +137,47 @@ def test_edge_cases(spark):
         assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 3, 4, 5, 6, 7, 8, 9, 10, None]))
     assert neardup.registered(docs(spark, empty=True)).count() == 0
     assert neardup.deduplicate(docs(spark, empty=True)).count() == 0
+
+
+def test_many_texts_that_are_alike_but_too_far_apart(spark, monkeypatch):
+    """Pairs of similarity 0.62 to 0.79 in numbers, a few links among them: tiles hand on texts and links, no pairs."""
+    base = [f"b{i}" for i in range(300)]
+    given = [(i, text(base, changes=8, seed=i)) for i in range(300)]
+    given += [(1000 + i, text(given[i][1].split(), changes=2, seed=-1 - i)) for i in range(0, 300, 30)]
+    handed = {}
+    staged = neardup.staged
+
+    def counted(df, label):
+        out = staged(df, label)
+        handed[label] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "staged", counted)
+    assert found(spark, given) == brute(given)
+    bands = neardup.BANDS * len(given)
+    assert handed["bag-alike"] <= bands and handed["bag-links"] <= bands
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_shared_items_are_exact(monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(5, 60))) for _ in range(20)]
+    texts += [text([f"t{i}" for i in range(40)], changes=4, seed=i) for i in range(20)] + ["x y", "x  Y", "only one of these here"]
+    counts = np.concatenate([c for _, c in neardup.shared_items(neardup.items(texts))])
+    bags = [neardup.bag(t) for t in texts]
+    np.fill_diagonal(counts, 0)  # says nothing
+    assert counts.tolist() == [[sum((a & b).values()) * (a is not b) for b in bags] for a in bags]
+
+
+def test_forest_connects_what_the_matrix_connects():
+    rng = np.random.default_rng(2)
+    near = rng.random((60, 60)) < 0.02
+    near |= near.T
+    a, b = neardup.forest(near)
+    assert len(a) < 60 and near[a, b].all()
+    reach, own = np.eye(60, dtype=bool) | near, np.eye(60, dtype=bool)
+    own[a, b] = own[b, a] = True
+    for _ in range(6):
+        reach, own = reach @ reach, own @ own
+    assert (reach == own).all()
