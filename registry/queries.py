@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drumlin.contract import GRAIN, RAW, RAW_DEFAULTS
+from drumlin.operators import payload_schema as payloads
 from drumlin.operators import profile, quality
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE, upsert
@@ -386,7 +387,20 @@ def stream_fact(spark, sf_dir):
     return _plain(stream.read_fact(spark, layout))
 
 
+def payload_schema(spark, sf_dir):
+    """Keys of the payloads, their types, shares and days."""
+    return _plain(payloads.payload_schema(fixture.dirty_table(spark, sf_dir)))
+
+
+def payload_drift(spark, sf_dir):
+    """The same against a contract that is older than the data: no city yet, whole metrics, a key that went."""
+    older = {k: v for k, v in payloads.EXPECTED.items() if k != "city"} | {"metric_value": "integer", "battery": "decimal"}
+    return payloads.drift(payloads.payload_schema(fixture.dirty_table(spark, sf_dir)), older)
+
+
 QUERIES: dict[str, Query] = {
+    "payload_schema": payload_schema,
+    "payload_drift": payload_drift,
     "change_feed": change_feed,
     "raw_as_of": raw_as_of,
     "fact_by_deltas": fact_by_deltas,
