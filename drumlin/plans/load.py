@@ -14,7 +14,7 @@ from drumlin.contract import EARLIEST, RAW
 from drumlin.functions.clock import instant, text as clock_text, utc
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import UPDATE, collapse, new_value
-from drumlin.plans import key_index
+from drumlin.plans import key_index, lineage
 from drumlin.session import discard, scratch, write_scratch
 from drumlin.sources import pages as page_source
 from drumlin.sources import tables
@@ -92,11 +92,13 @@ def load_pages(
     require_complete: bool = True,
     window: tuple[datetime, datetime] | None = None,
     notes: dict[str, str] | None = None,
+    lineage_root: str | None = None,
 ) -> LoadSummary:
     """Shape, check and upsert the pages of a pull (of ``window``, if given).
 
     The shaped batch is written once to shared scratch: the JSON is parsed a
-    single time, and losing an executor later does not parse it again.
+    single time, and losing an executor later does not parse it again. With
+    ``lineage_root`` the pages that delivered each key are kept there.
     """
     work = scratch(spark, "load")
     try:
@@ -108,6 +110,8 @@ def load_pages(
             raise LoadRejected(broken, *rows)
         if require_complete:
             check_complete(batch, window)
+        if lineage_root:  # first, so that no row of the table lacks its pages
+            lineage.record(batch.filter(page_source.is_event()), lineage_root, load_ts)
         return load_rows(
             batch.sparkSession,
             batch.filter(page_source.is_event()),
