@@ -10,8 +10,9 @@ loses only what stands on ``INSIDE_SHARE`` of the pages, ``INSIDE_LEAST`` at lea
 whole blocks, and of others only ``RUN`` tokens or more; blocks below that go with a stretch only.
 
 Pages are distinct if their html is, and if they are no near copies: ``ALIKE`` of their substrings
-are equal, by min-hashes. Near copies count as one page. A host's pages are dealt to shards of
-bounded size, each with a suffix array of its own. What stands on a share of a host's pages does so
+are equal, by min-hashes. Near copies count as one page. Each page is parsed once and its blocks
+are kept packed. A token of a repeated substring is itself on as many pages, so of the streams only stretches
+of such tokens move. A host's pages are dealt to shards of bounded size, each with a suffix array of its own. What stands on a share of a host's pages does so
 in one of its shards at least; such substrings are then counted on all pages, so a host with a third
 of all pages is many tasks and nothing is lost between them.
 
@@ -31,11 +32,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import staged, unused
+from drumlin.llm.common import chunks, staged, unused
 from drumlin.llm.neardup import components, mix
 
 #: Tokens of the shortest substring that counts as repeated, and of a stretch that goes wherever it stands.
@@ -68,9 +70,14 @@ NAMES = re.compile(
 COMMENT = re.compile(r"(?:^|[-_\s])(?:comments?|repl(?:y|ies))(?:$|[-_\s])", re.I)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-SPACE = re.compile(r"\s+")
 
 MAIN, OPEN, OUT = "main", "open", "out"
+#: Packed blocks: a letter for the kind, and the compressor's level.
+CODES = {MAIN: "m", OPEN: "p", OUT: "x"}
+KINDS = {letter: kind for kind, letter in CODES.items()}
+PACK = 3
+#: Multiplier of the hash of a substring.
+PRIME = 0x100000001B3
 
 
 class Block(NamedTuple):
@@ -129,7 +136,7 @@ def blocks(page: str) -> list[Block]:
 
     def close() -> None:
         if parts:
-            text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+            text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 top = stack[-1]
                 found.append(Block(OUT if top.out else MAIN if top.main else OPEN, text))
@@ -222,8 +229,8 @@ def host(url: Column) -> Column:
 
 
 def content(html: Column) -> Column:
-    """What makes pages distinct."""
-    return F.xxhash64(html)
+    """What makes pages distinct: 128 bits."""
+    return F.unhex(F.md5(F.encode(html, "UTF-8")))
 
 
 def suffix_runs(streams: list[list[str]], run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -263,68 +270,133 @@ def marks(tokens: list[str]) -> np.ndarray:
     found = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(RUN):
-            found = mix(found * np.uint64(31) + h[i : i + n])
-    return found.astype(np.int64)
+            found *= np.uint64(PRIME)
+            found += h[i : i + n]
+    return mix(found).astype(np.int64)
 
 
 def _sketch(found: np.ndarray) -> list[int]:
-    """Min-hashes of a page's substrings; a page without any has none."""
+    """Min-hashes of a page's substrings by one permutation: the least hash of each of as many equal ranges; an empty
+    range takes that of the next that is not. A page without any substring has none."""
     if not len(found):
         return []
-    runs = np.unique(found).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        return [int(mix(runs ^ mix(np.array([i + 1], np.uint64))).min() >> np.uint64(1)) for i in range(BANDS * ROWS)]
+    hashes = np.sort(found.astype(np.uint64))
+    bins = BANDS * ROWS
+    width = np.uint64((1 << 64) // bins)
+    first = np.searchsorted(hashes, np.arange(bins, dtype=np.uint64) * width)
+    own = first < np.searchsorted(hashes, np.arange(1, bins, dtype=np.uint64) * width, "left").tolist() + [len(hashes)]
+    full = np.flatnonzero(own)
+    after = full[np.searchsorted(full, np.arange(bins)) % len(full)]  # the range itself, or the next one that is full
+    return (hashes[first[after]] & np.uint64(0x7FFFFFFF)).astype(np.int32).tolist()
 
 
 def _tokens(parts: list[Block]) -> list[str]:
     return [t for b in parts for t in b.text.split(" ")]
 
 
-def _streams(pages: DataFrame) -> DataFrame:
-    """page (a host's html), host, text (tokens) and sketch of pages that have a substring."""
-    named = pages.select(host(F.col("url")).alias("host"), content(F.col("html")).alias("key"), "html")
+def _packed(parts: list[Block]) -> bytes | None:
+    """Blocks as bytes: they are kept and read again, and text packs well."""
+    text = "\n".join(CODES[b.kind] + b.text for b in parts)
+    return zstandard.compress(text.encode(), PACK) if parts else None
+
+
+def _unpacked(body: bytes | None) -> list[Block]:
+    return [Block(KINDS[x[0]], x[1:]) for x in zstandard.decompress(body).decode().split("\n")] if body else []
+
+
+def _parsed(pages: DataFrame, keep: list[str], own: dict[str, str]) -> DataFrame:
+    """The rows with uid, host, key, body (packed blocks) and sketch (null without a substring), named as in ``own``.
+    Pages are parsed here only."""
+    named = pages.select(
+        *[F.col(f"`{c}`") for c in keep],
+        F.monotonically_increasing_id().alias(own["uid"]),  # kept with the rows, so it stays
+        host(F.col("url")).alias(own["host"]),
+        content(F.col("html")).alias(own["key"]),
+        F.col("html").alias(own["html"]),
+    )
+    out = [f"`{own['body']}` binary", f"`{own['sketch']}` array<int>"]
+    given = named.drop(own["html"]).schema
+    schema = T.StructType([*given.fields, *T.StructType.fromDDL(", ".join(out)).fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for h, key, page in zip(batch["host"], batch["key"], batch["html"], strict=True):
-                tokens = _tokens(blocks(page)) if isinstance(page, str) else []
-                if len(tokens) >= RUN:
-                    rows.append((h, key, " ".join(tokens), _sketch(marks(tokens))))
-            yield pd.DataFrame(rows, columns=["host", "key", "text", "sketch"])
+            bodies, sketches = [], []
+            for page in batch.pop(own["html"]):
+                parts = blocks(page) if isinstance(page, str) else []
+                bodies.append(_packed(parts))
+                sketches.append(_sketch(marks(_tokens(parts))) or None)
+            yield batch.assign(**{own["body"]: bodies, own["sketch"]: sketches})
 
-    found = named.mapInPandas(run, "host string, key long, text string, sketch array<long>")
-    found = found.dropDuplicates(["host", "key"]).withColumn("page", F.xxhash64("host", "key"))
-    return staged(found.select("page", "host", "text", "sketch"), "html-streams")
+    return staged(named.mapInPandas(run, schema), "html-parsed")
 
 
 def _firsts(streams: DataFrame) -> DataFrame:
-    """The streams without near copies of others of their host: of these the least page stays."""
-    bands = streams.select(
-        "page", "host", "sketch",
+    """page, host of the distinct pages: of equal ones and of near copies within a host the least stays. No text is moved."""
+    distinct = streams.groupBy("host", "key").agg(F.min("uid").alias("page"), F.first("sketch").alias("sketch"))
+    distinct = staged(distinct.select("page", "host", "sketch"), "html-distinct")
+    bands = distinct.select(
+        "page",
         F.explode(F.array(*[F.xxhash64("host", F.lit(i), F.slice("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("band"),
     )
     least = bands.groupBy("band").agg(F.min("page").alias("least"), F.max("page").alias("most")).where("least < most")
-    pairs = bands.join(least, "band").where("page <> least").select("page", "least", "sketch").dropDuplicates(["page", "least"])
-    both = pairs.join(streams.select(F.col("page").alias("least"), F.col("sketch").alias("other")), "least")
+    pairs = bands.join(least, "band").where("page <> least").select("page", "least").distinct()
+    both = pairs.join(distinct.select("page", "sketch"), "page")
+    both = both.join(distinct.select(F.col("page").alias("least"), F.col("sketch").alias("other")), "least")
     equal = F.size(F.filter(F.zip_with("sketch", "other", lambda x, y: x == y), lambda x: x))
     links = staged(both.where(equal >= math.ceil(ALIKE * BANDS * ROWS)).select(F.col("page").alias("a"), F.col("least").alias("b")), "html-links")
+    firsts = distinct.select("page", "host")
     if links.isEmpty():
-        return streams.select("page", "host", "text")
+        return firsts
     copies = components(links).where("node <> component").select(F.col("node").alias("page"))
-    return staged(streams.select("page", "host", "text").join(copies, "page", "left_anti"), "html-firsts")
-
-
-def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    """Substrings that stand on the share of a shard's pages."""
-    rows = rows.sort_values("page", kind="stable")
-    streams = [x.split(" ") for x in rows["text"]]
+    return staged(firsts.join(copies, "page", "left_anti"), "html-firsts")
+
+
+def _hashed(bodies: Sequence[bytes]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
+    """Token streams of packed pages, the hash of each token and its page's place."""
+    streams = [_tokens(_unpacked(x)) for x in bodies]
+    codes, words = pd.factorize(np.array([t for x in streams for t in x], dtype=object))
+    hashes = pd.util.hash_array(words, categorize=False).astype(np.int64)
+    return streams, hashes[codes], np.repeat(np.arange(len(streams)), [len(x) for x in streams])
+
+
+def _token_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """host, token, n: pages of a part of a batch that hold a token."""
+    for batch in batches:
+        for start, end in chunks(list(batch["body"])):
+            _, tokens, page = _hashed(batch["body"].iloc[start:end])
+            held = pd.DataFrame({"page": page, "token": tokens}).drop_duplicates()
+            held["host"] = batch["host"].iloc[start:end].to_numpy()[held["page"]]
+            yield held.groupby(["host", "token"], as_index=False, sort=False).agg(n=("page", "size"))
+
+
+def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """host, uid, text: the stretches of RUN tokens or more that are all common, a line each."""
+    for batch in batches:
+        for start, end in chunks(list(batch["body"])):
+            part, rows = batch.iloc[start:end], []
+            streams, tokens, page = _hashed(part["body"])
+            ends = np.searchsorted(page, np.arange(len(streams) + 1))
+            for i, (name, uid, common) in enumerate(zip(part["host"], part["uid"], part["common"], strict=True)):
+                is_common = np.isin(tokens[ends[i] : ends[i + 1]], common)
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], is_common.astype(np.int8), [0]])))
+                lines = [" ".join(streams[i][a:b]) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= RUN]
+                if lines:
+                    rows.append((name, uid, "\n".join(lines)))
+            yield pd.DataFrame(rows, columns=["host", "uid", "text"])
+
+
+def _shard(key: tuple, texts: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
+    """Substrings that stand on the share of a shard's distinct pages."""
+    rows = texts[texts["uid"].isin(firsts["page"])].sort_values("uid", kind="stable")
+    lines = [(i, line.split(" ")) for i, text in enumerate(rows["text"]) for line in text.split("\n")]
+    pages, streams = np.array([i for i, _ in lines], np.int64), [x for _, x in lines]
     stream, offset, number = suffix_runs(streams)
-    places = pd.DataFrame({"stream": stream, "at": offset, "number": number}).drop_duplicates(["stream", "number"])
-    counts = places.groupby("number").agg(n=("stream", "size"), stream=("stream", "first"), at=("at", "first"))
-    wide = counts[counts["n"] >= SHARE * len(rows)]
+    places = pd.DataFrame({"page": pages[stream], "stream": stream, "at": offset, "number": number})
+    places = places.drop_duplicates(["page", "number"])
+    counts = places.groupby("number").agg(n=("page", "size"), stream=("stream", "first"), at=("at", "first"))
+    wide = counts[counts["n"] >= SHARE * len(firsts)]
     found = [marks(streams[i][at : at + RUN])[0] for i, at in zip(wide["stream"], wide["at"], strict=True)]
-    return pd.DataFrame({"host": rows["host"].iloc[0], "mark": np.array(found, np.int64)})
+    return pd.DataFrame({"host": key[0], "mark": np.array(found, np.int64)})
 
 
 def _salted(known: DataFrame) -> DataFrame:
@@ -335,30 +407,47 @@ def _salted(known: DataFrame) -> DataFrame:
     return lists.select(F.col("host").alias("_host"), "marks", "inside", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
 
 
-def furniture(pages: DataFrame) -> DataFrame:
+def furniture(parsed: DataFrame) -> DataFrame:
     """host, mark: the substrings that stand on the share of the host's distinct pages; inside: whether articles lose them."""
-    firsts = _firsts(_streams(pages))
-    sizes = firsts.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST)
-    sizes = staged(sizes.select(F.col("host").alias("_host"), "pages", F.ceil(F.col("pages") / SHARD_PAGES).cast("int").alias("shards")), "html-hosts")
-    dealt = (
-        firsts.join(sizes, F.col("host") == F.col("_host"))
-        .withColumn("shard", F.pmod("page", "shards"))
-        .select("host", "shard", "page", "text")
-        .repartition("host", "shard")  # else a join by host would leave all shards of one in a task
-    )
-    likely = staged(dealt.groupBy("host", "shard").applyInPandas(_shard, "host string, mark long").distinct(), "html-likely")
+    streams = parsed.where(F.col("sketch").isNotNull())
+    firsts = _firsts(streams)
+    rows = streams.groupBy("host").agg(F.count("*").alias("rows"))
+    sizes = firsts.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST).join(rows, "host")
+    # A shard holds so many rows, copies included, whatever share of them is distinct.
+    sizes = staged(sizes.select(F.col("host").alias("_host"), "pages", F.ceil(F.col("rows") / SHARD_PAGES).cast("int").alias("shards")), "html-hosts")
+    of_host = F.col("host") == F.col("_host")
+
+    # Each token of such a substring stands on the share of the distinct pages too, and on no fewer with the copies.
+    # So only stretches of such tokens are moved.
+    tokens = streams.select("host", "body").mapInPandas(_token_counts, "host string, token long, n long")
+    tokens = tokens.groupBy("host", "token").agg(F.sum("n").alias("n")).join(sizes, of_host).where(F.col("n") >= SHARE * F.col("pages"))
+    common = tokens.groupBy("host").agg(F.collect_list("token").alias("common"))  # twice a page's tokens at most
+    common = common.select(F.col("host").alias("_host"), "common", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    by = F.pmod("uid", F.lit(SALTS)).cast("int")
+    asked = streams.select("host", "uid", "body").join(staged(common, "html-common"), of_host & (by == F.col("_salt")))
+    moved = asked.select("host", "uid", "body", "common").mapInPandas(_stretches, "host string, uid long, text string")
+
+    def dealt(frame: DataFrame, uid: str) -> DataFrame:
+        named = frame.join(sizes, of_host).withColumn("shard", F.pmod(F.hash(uid), "shards"))
+        # By both: a join by host before would leave all shards of one in a task.
+        return named.drop("_host", "pages", "shards").repartition("host", "shard").groupBy("host", "shard")
+
+    found = dealt(moved, "uid").cogroup(dealt(firsts, "page")).applyInPandas(_shard, "host string, mark long")
+    likely = staged(found.distinct(), "html-likely")
 
     def standing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(h, m) for h, text, own in zip(batch["host"], batch["text"], batch["marks"], strict=True) for m in np.intersect1d(marks(text.split(" ")), own)]
-            yield pd.DataFrame(rows, columns=["host", "mark"])
+            found = [
+                (h, uid, m) for h, uid, body, own in zip(batch["host"], batch["uid"], batch["body"], batch["marks"], strict=True)
+                for m in np.intersect1d(marks(_tokens(_unpacked(body))), own)
+            ]
+            yield pd.DataFrame(found, columns=["host", "page", "mark"])
 
     salted = _salted(likely.withColumn("inside", F.lit(False)))
-    asked = firsts.withColumn("_by", F.pmod("page", F.lit(SALTS)).cast("int")).join(
-        salted, (F.col("host") == F.col("_host")) & (F.col("_by") == F.col("_salt"))
-    )
-    counts = asked.select("host", "text", "marks").mapInPandas(standing, "host string, mark long").groupBy("host", "mark").agg(F.count("*").alias("n"))
-    wide = counts.join(sizes, F.col("host") == F.col("_host")).where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages")))
+    asked = streams.join(salted, of_host & (by == F.col("_salt")))
+    seen = asked.select("host", "uid", "body", "marks").mapInPandas(standing, "host string, page long, mark long")
+    counts = seen.join(firsts.select("page"), "page", "left_semi").groupBy("host", "mark").agg(F.count("*").alias("n"))
+    wide = counts.join(sizes, of_host).where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("pages")))
     inside = (F.col("n") >= INSIDE_LEAST) & (F.col("n") >= INSIDE_SHARE * F.col("pages"))
     return staged(wide.select("host", "mark", inside.alias("inside")), "html-furniture")
 
@@ -408,25 +497,28 @@ def main_text(parts: list[Block], known: Sequence[int], inside: Sequence[int] =
 
 def extract(pages: DataFrame) -> DataFrame:
     """The rows without ``html``, with ``text``: the page's main text. Needs url and html."""
-    known = _salted(furniture(pages))
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
+    own = {c: unused(c, keep) for c in ("uid", "host", "key", "html", "body", "sketch", "marks", "inside")}
+    parsed = _parsed(pages, keep, own)
+    inner = ("uid", "host", "key", "body", "sketch")
+    known = _salted(furniture(parsed.select(*[F.col(own[c]).alias(c) for c in inner]))).withColumnsRenamed(
+        {"marks": own["marks"], "inside": own["inside"], "_host": unused("_host", keep), "_salt": unused("_salt", keep)}
+    )
+    salt = F.pmod(F.col(own["uid"]), F.lit(SALTS)).cast("int")
+    rows = parsed.join(
+        known, (F.col(own["host"]) == F.col(unused("_host", keep))) & (salt == F.col(unused("_salt", keep))), "left"
+    )
     schema = T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType())])
-    rows = pages.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "html", host(F.col("url")).alias("_name"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_by"),  # any salt does
-    ).join(known, (F.col("_name") == F.col("_host")) & (F.col("_by") == F.col("_salt")), "left")
-    marked = unused("covered", keep)
-    marked_inside = unused("inside", keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [
-                main_text(blocks(page) if isinstance(page, str) else [], *((own, inside) if own is not None else ((), ())))
-                for page, own, inside in zip(batch["html"], batch[marked], batch[marked_inside], strict=True)
+                main_text(_unpacked(body), *((known, inside) if known is not None else ((), ())))
+                for body, known, inside in zip(batch[own["body"]], batch[own["marks"]], batch[own["inside"]], strict=True)
             ]
             yield batch[keep].assign(text=texts)
 
-    flat = rows.select(*[F.col(f"_row.`{c}`") for c in keep], F.col("html"), F.col("marks").alias(marked), F.col("inside").alias(marked_inside))
+    flat = rows.select(*[F.col(f"`{c}`") for c in keep], *[F.col(own[c]) for c in ("body", "marks", "inside")])
     return flat.mapInPandas(run, schema)
 
 

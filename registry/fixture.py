@@ -13,6 +13,9 @@ AS_OF = "2024-01-26 12:00:00"
 LOADED = "2024-01-25 00:00:00"
 RELOADED = "2024-01-26 00:00:00"
 SOURCE = "https://api.example.com/telemetry"
+# A clock after the seed rows, whose days are in February.
+SEEDED = "2024-02-03 00:00:00"
+SECRET = b"the key of the registered queries"
 
 MODELS = ("Kite 2", "Kite 3", "Heron", "Wren Mini")
 SYSTEMS = ("os-a 4", "os-a 5", "os-b 11", "os-b 12")
@@ -207,6 +210,17 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _place(rows, _document("sent", f"n % {WINDOW} < {WINDOW - 1}"), f"n % {WINDOW} + 1")
 
 
+TWO_WINDOWS = (("2024-01-01T00:00:00", "2024-01-02T00:00:00"), ("2024-01-02T00:00:00", "2024-01-03T00:00:00"))
+
+
+def two_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of ``pages`` as those of two windows: the odd ones, then the even ones."""
+    sides = [" when ".join(["", *[f"page % 2 = {1 - i} then '{w[side]}'" for i, w in enumerate(TWO_WINDOWS)]]) for side in (0, 1)]
+    return pages(spark, sf_dir).withColumns(
+        {name: F.expr(f"case{side} end") for name, side in zip(("window_start", "window_end"), sides, strict=True)}
+    )
+
+
 def broken_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of which every fourth window starts at page 2 and every fourth has no last page."""
     rows = _texts(spark, sf_dir)

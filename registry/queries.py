@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drumlin.contract import GRAIN, RAW, RAW_DEFAULTS
+from drumlin.functions import masking
+from drumlin.operators import anomalies, profile, quality
 from drumlin.operators import payload_schema as payloads
-from drumlin.operators import profile, quality
 from drumlin.operators.shape import shape, violations
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE, upsert
-from drumlin.plans import daily_run, dimension, fact, fact_state, feed, history, load, refresh
+from drumlin.plans import daily_run, dimension, fact, fact_state, feed, history, lineage, load, masked, refresh
 from drumlin.plans.staging import stage
 from drumlin.session import scratch, write_scratch
 from drumlin.sources import pages
@@ -20,7 +21,7 @@ from drumlin.sources.seed import SEED_SOURCE, SEED_STATUS
 from drumlin.streaming import fact as stream
 from drumlin.streaming.load import load_stream, page_table_stream
 from registry import fixture
-from registry.fixture import AS_OF, LOADED, RELOADED, SOURCE
+from registry.fixture import AS_OF, LOADED, RELOADED, SECRET, SOURCE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,7 +399,100 @@ def payload_drift(spark, sf_dir):
     return payloads.drift(payloads.payload_schema(fixture.dirty_table(spark, sf_dir)), older)
 
 
+def metric_scores(spark, sf_dir):
+    """Every day of the fact against the days before it."""
+    return anomalies.scores(fact.fact_daily(_staged(spark, sf_dir), AS_OF))
+
+
+def metric_anomalies(spark, sf_dir):
+    """The days that stand out, with their rank within event type and metric."""
+    return anomalies.anomalies(fact.fact_daily(_staged(spark, sf_dir), AS_OF), threshold=1.5)
+
+
+def masked_events(spark, sf_dir):
+    """The staging view under tokens."""
+    return _plain(masked.masked_events(_staged(spark, sf_dir), masking.keys(spark, SECRET)))
+
+
+def masked_fact(spark, sf_dir):
+    """Daily counts of which none is of fewer than five users."""
+    return _plain(masked.masked_fact(_staged(spark, sf_dir), scratch(spark, "masked")))
+
+
+def small_groups(spark, sf_dir):
+    """Groups of the staging view that would tell of fewer than five users."""
+    dated = _staged(spark, sf_dir).withColumn("metric_date", F.to_date("event_timestamp"))
+    return masked.small_groups(dated, ["metric_date", "event_type", "country"])
+
+
+def _traced(spark: SparkSession, sf_dir: str) -> tuple[refresh.Layout, DataFrame]:
+    """Two loads of landed pages, of the even pages and then of all; the lineage of their keys."""
+    layout = _new_layout(spark)
+    kept = f"{layout.root}/lineage"
+    arrived = _landed(fixture.pages(spark, sf_dir))
+    for part, time in ((arrived.where("page % 2 = 0"), LOADED), (arrived, RELOADED)):
+        load.load_pages(
+            spark, part, layout.raw, default_source=SOURCE, load_ts=time, require_complete=False, lineage_root=kept
+        )
+    return layout, lineage.of_keys(spark, kept)
+
+
+def key_lineage(spark, sf_dir):
+    """First and last delivery of each key."""
+    keys = _traced(spark, sf_dir)[1]
+    places = [F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("first", "last") for c in ("loaded_at", "window_start", "page", "pos")]
+    return _plain(keys.select("event_id", "deliveries", *places))
+
+
+def fact_lineage(spark, sf_dir):
+    """The pages behind each row of the fact, in fixed size."""
+    layout, keys = _traced(spark, sf_dir)
+    return lineage.fact_lineage(stage(load.read_raw(spark, layout.raw), AS_OF), keys)
+
+
+def _viewed(spark: SparkSession, sf_dir: str) -> None:
+    """A new table with its seed rows, two windows pulled one after the other, and all of it as SQL views."""
+    layout, later = _new_layout(spark), fixture.SEEDED
+    daily_run.initialise(spark, layout, load_ts=LOADED)
+    arrived = _landed(fixture.two_windows(spark, sf_dir))
+    for start, end in fixture.TWO_WINDOWS:
+        load.load_pages(
+            spark, pages.in_window(arrived, start, end), layout.raw,
+            default_source=SOURCE, load_ts=RELOADED, require_complete=False,
+        )
+    refresh.publish(spark, layout, refresh.build(spark, layout, later))
+    daily_run.register_views(spark, layout, later)
+
+
+def view_staging(spark, sf_dir):
+    """The staging view by SQL, seed rows included."""
+    _viewed(spark, sf_dir)
+    return _plain(spark.sql(
+        """SELECT event_id, device_id, event_type, event_timestamp, source_api, device_model, os_version, user_id,
+             session_id, country, city, metric_value, duration_ms FROM stg_telemetry__raw"""
+    ))
+
+
+def view_marts(spark, sf_dir):
+    """The fact joined to the dimension by SQL."""
+    _viewed(spark, sf_dir)
+    return _plain(spark.sql(
+        """SELECT device_id, d.device_model, d.total_events, sum(f.event_count) AS fact_events, count(*) AS fact_rows,
+             max(f.metric_date) AS last_day
+           FROM fct_telemetry_metrics f JOIN dim_devices d USING (device_id) GROUP BY ALL"""
+    ))
+
+
 QUERIES: dict[str, Query] = {
+    "metric_scores": metric_scores,
+    "metric_anomalies": metric_anomalies,
+    "masked_events": masked_events,
+    "masked_fact": masked_fact,
+    "small_groups": small_groups,
+    "key_lineage": key_lineage,
+    "fact_lineage": fact_lineage,
+    "view_staging": view_staging,
+    "view_marts": view_marts,
     "payload_schema": payload_schema,
     "payload_drift": payload_drift,
     "change_feed": change_feed,
