@@ -49,8 +49,8 @@ INSIDE_SHARE, INSIDE_LEAST = 0.9, 8
 #: Near copies: share of equal min-hashes; bands of them that find the pairs.
 ALIKE, BANDS, ROWS = 0.8, 8, 4
 SHARD_PAGES = 500
-#: A host's furniture is joined to its pages by as many keys.
-SALTS = 64
+#: A host's furniture is joined to its pages by as many keys; its tokens are counted in as many places.
+SALTS, SLICES = 64, 16
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup: skipped up to the end tag.
@@ -359,14 +359,31 @@ def _hashed(bodies: Sequence[bytes]) -> tuple[list[list[str]], np.ndarray, np.nd
     return streams, hashes[codes], np.repeat(np.arange(len(streams)), [len(x) for x in streams])
 
 
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of the hashes; tokens that share them count together, and so never too little."""
+    return tokens.astype(np.int32)
+
+
 def _token_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """host, token, n: pages of a part of a batch that hold a token."""
+    """host, slice, tokens, n: how many pages of a part of a batch hold each token."""
     for batch in batches:
         for start, end in chunks(list(batch["body"])):
             _, tokens, page = _hashed(batch["body"].iloc[start:end])
-            held = pd.DataFrame({"page": page, "token": tokens}).drop_duplicates()
-            held["host"] = batch["host"].iloc[start:end].to_numpy()[held["page"]]
-            yield held.groupby(["host", "token"], as_index=False, sort=False).agg(n=("page", "size"))
+            names, hosts = np.unique(batch["host"].iloc[start:end].to_numpy(), return_inverse=True)
+            held = pd.DataFrame({"page": page, "token": _short(tokens)}).drop_duplicates()
+            held["host"] = hosts[held["page"]]
+            counts = held.groupby(["host", "token"], as_index=False, sort=False).agg(n=("page", "size"))
+            group = counts["host"].to_numpy() * SLICES + counts["token"].to_numpy() % SLICES
+            order = np.argsort(group, kind="stable")
+            found, first = np.unique(group[order], return_index=True)
+            rows = zip(
+                found,
+                np.split(counts["token"].to_numpy()[order], first[1:]),
+                np.split(counts["n"].to_numpy(np.int32)[order], first[1:]),
+                strict=True,
+            )
+            rows = [(names[g // SLICES], g % SLICES, t, n) for g, t, n in rows]
+            yield pd.DataFrame(rows, columns=["host", "slice", "tokens", "n"])
 
 
 def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -377,7 +394,7 @@ def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             streams, tokens, page = _hashed(part["body"])
             ends = np.searchsorted(page, np.arange(len(streams) + 1))
             for i, (name, uid, common) in enumerate(zip(part["host"], part["uid"], part["common"], strict=True)):
-                is_common = np.isin(tokens[ends[i] : ends[i + 1]], common)
+                is_common = np.isin(_short(tokens[ends[i] : ends[i + 1]]), common)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], is_common.astype(np.int8), [0]])))
                 lines = [" ".join(streams[i][a:b]) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= RUN]
                 if lines:
@@ -419,8 +436,10 @@ def furniture(parsed: DataFrame) -> DataFrame:
 
     # Each token of such a substring stands on the share of the distinct pages too, and on no fewer with the copies.
     # So only stretches of such tokens are moved.
-    tokens = streams.select("host", "body").mapInPandas(_token_counts, "host string, token long, n long")
-    tokens = tokens.groupBy("host", "token").agg(F.sum("n").alias("n")).join(sizes, of_host).where(F.col("n") >= SHARE * F.col("pages"))
+    lists = streams.select("host", "body").mapInPandas(_token_counts, "host string, slice int, tokens array<int>, n array<int>")
+    tokens = lists.repartition("host", "slice").select("host", "slice", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("n").alias("n"))))
+    tokens = tokens.groupBy("host", "slice", "token").agg(F.sum("n").alias("n"))  # where the lists are: no further shuffle
+    tokens = tokens.join(sizes, of_host).where(F.col("n") >= SHARE * F.col("pages"))
     common = tokens.groupBy("host").agg(F.collect_list("token").alias("common"))  # twice a page's tokens at most
     common = common.select(F.col("host").alias("_host"), "common", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     by = F.pmod("uid", F.lit(SALTS)).cast("int")
