@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from drumlin.session import scratch, write_scratch
+
 METRICS = ("event_count", "unique_sessions", "unique_users", "total_duration_ms")
 SERIES = ("device_id", "event_type")
 #: Days looked back on, and how many of them must have the metric.
@@ -28,9 +30,9 @@ LEAST_SHARE = 0.05
 LARGEST, BUCKET = 10**9, 1 << 15
 
 
-def _twice_median(values: Column) -> Column:
-    """Sum of the two middle values; null of an empty array."""
-    ordered, size = F.array_sort(values), F.size(values)
+def _twice_median(ordered: Column) -> Column:
+    """Sum of the two middle values of a sorted array; null of an empty one."""
+    size = F.size(ordered)
     low, high = F.floor((size + 1) / 2).cast("int"), F.floor(size / 2).cast("int") + 1
     return F.when(size > 0, F.element_at(ordered, low) + F.element_at(ordered, high))
 
@@ -69,24 +71,23 @@ def scores(
     rows = seen.select(*SERIES, "metric_date", F.inline(entries)).where(
         F.col("value").isNotNull() & (F.size("before") >= least_days)
     )
-    rows = rows.withColumn("median2", _twice_median(F.col("before")))
+    # Neither list holds a null. Each is sorted once, in a column of its own.
+    rows = rows.withColumn("before", F.sort_array("before")).withColumn("median2", _twice_median(F.col("before")))
     off = F.transform("before", lambda x: F.abs(x * 2 - F.col("median2")))
-    rows = rows.withColumn("mad4", _twice_median(off))
+    rows = rows.withColumn("off", F.sort_array(off)).withColumn("mad4", _twice_median(F.col("off")))
     # Half of a share of the doubled median, in quarters; half a unit is two of them.
     least = F.floor(F.abs("median2") * (2 * LEAST_SHARE)).cast("bigint")
     distance = (F.col("value") * 2 - F.col("median2")).cast("double")
     size = F.abs(distance) * 1349.0 / F.greatest("mad4", least, F.lit(2).cast("bigint")).cast("double")
     size = F.floor(F.least(size, F.lit(float(LARGEST)))).cast("bigint")
-    return rows.select(
-        *SERIES,
-        "metric_date",
-        "metric",
-        "value",
+    result = F.struct(
         F.size("before").cast("bigint").alias("days"),
         (F.col("median2") / F.lit(2.0)).alias("median"),
         (F.col("mad4") / F.lit(4.0)).alias("mad"),
         (F.when(distance < 0, -size).otherwise(size) / F.lit(1000.0)).alias("score"),
     )
+    # A filter on the score stays above a generator; pushed down it would compute every score twice.
+    return rows.select(*SERIES, "metric_date", "metric", "value", F.inline(F.array(result)))
 
 
 def ranked(rows: DataFrame, by: Sequence[str], score: str = "score") -> DataFrame:
@@ -114,6 +115,9 @@ def ranked(rows: DataFrame, by: Sequence[str], score: str = "score") -> DataFram
 
 def anomalies(fact: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """Scores of ``threshold`` or more either way, with their rank within event type and metric. Options are
-    those of ``scores``. An empty fact has none."""
+    those of ``scores``. An empty fact has none.
+
+    What stands out is written once to shared scratch: ranks read it three times."""
     found = scores(fact, **options).where(F.abs("score") >= threshold)
-    return ranked(found, ("event_type", "metric"))
+    kept = write_scratch(found, scratch(fact.sparkSession, "anomalies"))
+    return ranked(kept, ("event_type", "metric"))

@@ -103,3 +103,14 @@ def test_one_window_shuffle_for_all_metrics(spark, folder):
     plan = an.scores(fact, METRICS, first_day="2024-03-01")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
     assert "GreaterThanOrEqual(metric_date,2024-02-02)" in plan
+
+
+def test_scores_are_made_once(spark):
+    """The ranks read what stands out, not the series; a filter on the score repeats no score."""
+    fact = spark.createDataFrame(series(1), FACT)
+    found = an.anomalies(fact, 1.5, metrics=METRICS)
+    assert "Window [collect_list" not in found._jdf.queryExecution().toString()
+    expected_rows = {key: value for key, value in expected(series(1)).items() if abs(value[4]) >= 1.5}
+    assert shown(found) == expected_rows
+    kept = an.scores(fact, METRICS).where(F.abs("score") >= 1.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.index("Filter") < kept.index("Generate") and kept.count("sort_array") == 2
