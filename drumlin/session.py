@@ -37,6 +37,9 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Row groups of tables, scratch and landed files, in bytes. A task reads whole row groups, and parsing what a
+#: row holds takes far longer than reading it, so few large ones would leave most cores idle.
+ROW_GROUP = 16 << 20
 SHREDDING = "spark.sql.variant.writeShredding.enabled"
 
 
@@ -62,7 +65,7 @@ def write_scratch(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     with unshredded(spark):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from drumlin.session import ROW_GROUP
+
 VERSION = "version bigint, parts array<struct<value:string,folder:string>>, notes map<string,string>"
 # Partition value of a folder without one.
 WHOLE = ""
@@ -97,11 +99,12 @@ def write(
     run = f"run={uuid.uuid4().hex}"
     path = f"{root}/data/{run}"
     if partition is None:
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
         return [(WHOLE, run)]
     balanced = df.hint("rebalance", partition)
     order = [partition, sort] if sort else [partition]
-    balanced.sortWithinPartitions(*order).write.partitionBy(partition).parquet(path)
+    ordered = balanced.sortWithinPartitions(*order)
+    ordered.write.option("parquet.block.size", ROW_GROUP).partitionBy(partition).parquet(path)
     prefix = f"{partition}="
     names = [name for name in _folders(spark, path) if name.startswith(prefix)]
     return [(name[len(prefix) :], f"{run}/{name}") for name in names]
