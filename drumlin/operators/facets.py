@@ -13,6 +13,9 @@ their shuffle and all but the last with fixed-width buffers:
 
 The first step costs one shuffle and saves five rows for every event that
 repeats a combination elsewhere in the table.
+
+That spreading is for hot groups. If the largest group fits in one task, rows are
+dealt by grain once (``dealt``) and all three aggregations run where they are.
 """
 
 from __future__ import annotations
@@ -33,6 +36,19 @@ MEASURES = {
     "metric_count": "bigint",
 }
 
+# Rows of a group that one task may get. Its aggregations sort or spill, so this bounds time, not memory.
+ONE_TASK = 100_000
+
+
+def dealt(rows: DataFrame, grain: Sequence[str], most: int = ONE_TASK) -> DataFrame:
+    """The rows dealt by grain, if no group has more than ``most`` of them; else as they are.
+
+    Groups are counted first, from the columns of the grain alone."""
+    sizes = rows.groupBy(*grain).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) > most:
+        return rows
+    return rows.repartition(*grain)
+
 
 def combinations(rows: DataFrame, grain: Sequence[str]) -> DataFrame:
     """Events and measures per grain and combination of facet values."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from drumlin.contract import DEVICE_DAYS, DIMENSION, EARLIEST, FACT
 from drumlin.functions import clock
 from drumlin.plans.dimension import device_days, from_device_days
-from drumlin.plans.fact import fact_daily
+from drumlin.plans.fact import fact_of_job
 from drumlin.plans.load import read_raw
 from drumlin.plans.staging import stage
 from drumlin.sources import tables
@@ -131,7 +131,7 @@ def build(spark: SparkSession, layout: Layout, as_of, full: bool = False) -> Bui
         replaced = pending_dates(spark, layout, raw, as_of)
         staging = stage(on_dates(raw, "timestamp", replaced), as_of)
 
-    fact_parts = tables.write(fact_daily(staging, as_of), layout.fact, PARTITION, "device_id")
+    fact_parts = tables.write(fact_of_job(staging, as_of), layout.fact, PARTITION, "device_id")
     day_parts = tables.write(device_days(staging), layout.device_days, PARTITION, "device_id")
     if replaced is not None:
         fact_parts = tables.replace_parts(old_fact.parts, fact_parts, replaced)
