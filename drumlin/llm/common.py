@@ -5,9 +5,10 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from drumlin.session import scratch
@@ -58,10 +59,44 @@ def give_back() -> None:
     """Frees what the worker held for another stage, and returns free memory to the system."""
     _HELD.clear()
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Returns free memory to the system."""
+    pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run: Callable[[Iterator[T]], Iterator[T]]) -> Callable[[Iterator[T]], Iterator[T]]:
+    """The same work on a partition, by a worker that keeps nothing of another stage, nor memory after it: an executor's
+    workers take turns, so one that waits holds what it took at its most."""
+
+    def tidied(batches: Iterator[T]) -> Iterator[T]:
+        if _HELD:
+            give_back()
+        yield from run(batches)
+        trim()
+
+    return tidied
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs meanwhile hands Python batches of so many rows at most."""
+    before = spark.conf.get(BATCH_ROWS)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def strings(values: Iterable[object]) -> list[str]:
     """Texts of a column; null becomes the empty text."""
     return [x if isinstance(x, str) else "" for x in values]

@@ -11,8 +11,9 @@ whole blocks, and of others only ``RUN`` tokens or more; blocks below that go wi
 
 Pages are distinct if their html is, and if they are no near copies: ``ALIKE`` of their substrings
 are equal, by min-hashes. Near copies count as one page. Each page is parsed once and its blocks
-are kept packed. A token of a repeated substring is itself on as many pages, so of the streams only stretches
-of such tokens move. A host's pages are dealt to shards of bounded size, each with a suffix array of its own. What stands on a share of a host's pages does so
+are kept packed. A token of a repeated substring is itself on as many pages, and so is the bucket that its hash falls
+into: pages are counted by bucket, a vector for each host and task, and of the streams only stretches of tokens of
+such buckets move. A host's pages are dealt to shards of bounded size, each with a suffix array of its own. What stands on a share of a host's pages does so
 in one of its shards at least; such substrings are then counted on all pages, so a host with a third
 of all pages is many tasks and nothing is lost between them.
 
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import chunks, staged, unused
+from drumlin.llm.common import chunks, staged, tidy, unused
 from drumlin.llm.neardup import components, mix
 
 #: Tokens of the shortest substring that counts as repeated, and of a stretch that goes wherever it stands.
@@ -51,6 +52,11 @@ ALIKE, BANDS, ROWS = 0.8, 8, 4
 SHARD_PAGES = 500
 #: A host's furniture is joined to its pages by as many keys.
 SALTS = 64
+#: Buckets that count the pages with a token: so many, at least, for each token of a mean page, and so many at most. Fewer let
+#: more tokens pass for common, and lose none.
+SPARE, MOST_BUCKETS = 8, 1 << 20
+#: A host's buckets are added up in as many parts first.
+PARTS = 16
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup: skipped up to the end tag.
@@ -359,25 +365,61 @@ def _hashed(bodies: Sequence[bytes]) -> tuple[list[list[str]], np.ndarray, np.nd
     return streams, hashes[codes], np.repeat(np.arange(len(streams)), [len(x) for x in streams])
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts as bytes, each as wide as the largest needs; the first byte says how wide."""
+    narrow = counts.astype(np.min_scalar_type(int(counts.max())))
+    return bytes([narrow.itemsize]) + zstandard.compress(narrow.tobytes(), PACK)
+
+
+def _unpacked_counts(body: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(body[1:]), f"<u{body[0]}")
+
+
 def _token_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """host, token, n: pages of a part of a batch that hold a token."""
+    """host, size, counts: for each bucket of token hashes, pages of a part of a batch that hold one of its tokens."""
     for batch in batches:
         for start, end in chunks(list(batch["body"])):
             _, tokens, page = _hashed(batch["body"].iloc[start:end])
             held = pd.DataFrame({"page": page, "token": tokens}).drop_duplicates()
             held["host"] = batch["host"].iloc[start:end].to_numpy()[held["page"]]
-            yield held.groupby(["host", "token"], as_index=False, sort=False).agg(n=("page", "size"))
+            rows = []
+            for name, own in held.groupby("host", sort=False):
+                mean = len(own) / own["page"].nunique()
+                size = min(MOST_BUCKETS, 1 << math.ceil(math.log2(SPARE * mean)))
+                bucket = np.unique(own["page"].to_numpy() * size + (own["token"].to_numpy() & (size - 1))) % size
+                rows.append((name, size, _packed_counts(np.bincount(bucket, minlength=size))))
+            yield pd.DataFrame(rows, columns=["host", "size", "counts"])
+
+
+def _added(bodies: Sequence[bytes], size: int) -> np.ndarray:
+    """Sum of counts, each at most ``size`` long; of a shorter one a bucket counts for all it was cut into."""
+    total = np.zeros(size, np.int64)
+    for body in bodies:
+        counts = _unpacked_counts(body)
+        total.reshape(-1, len(counts))[:] += counts
+    return total
+
+
+def _part(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"host": key[:1], "size": key[1:2], "counts": [_packed_counts(_added(rows["counts"], key[1]))]})
+
+
+def _common(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """A bit for each of the host's buckets: whether a token of it may stand on the share of the distinct pages."""
+    bits = _added(rows["counts"], rows["size"].max()) >= max(LEAST, SHARE * rows["pages"].iloc[0])
+    return pd.DataFrame({"_host": key, "common": [np.packbits(bits).tobytes()]})
 
 
 def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """host, uid, text: the stretches of RUN tokens or more that are all common, a line each."""
+    """host, uid, text: the stretches of RUN tokens or more that are all in common buckets, a line each."""
     for batch in batches:
         for start, end in chunks(list(batch["body"])):
             part, rows = batch.iloc[start:end], []
             streams, tokens, page = _hashed(part["body"])
             ends = np.searchsorted(page, np.arange(len(streams) + 1))
             for i, (name, uid, common) in enumerate(zip(part["host"], part["uid"], part["common"], strict=True)):
-                is_common = np.isin(tokens[ends[i] : ends[i + 1]], common)
+                bits = np.unpackbits(np.frombuffer(common, np.uint8))
+                is_common = bits[tokens[ends[i] : ends[i + 1]] & (len(bits) - 1)]
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], is_common.astype(np.int8), [0]])))
                 lines = [" ".join(streams[i][a:b]) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= RUN]
                 if lines:
@@ -417,12 +459,13 @@ def furniture(parsed: DataFrame) -> DataFrame:
     sizes = staged(sizes.select(F.col("host").alias("_host"), "pages", F.ceil(F.col("rows") / SHARD_PAGES).cast("int").alias("shards")), "html-hosts")
     of_host = F.col("host") == F.col("_host")
 
-    # Each token of such a substring stands on the share of the distinct pages too, and on no fewer with the copies.
-    # So only stretches of such tokens are moved.
-    tokens = streams.select("host", "body").mapInPandas(_token_counts, "host string, token long, n long")
-    tokens = tokens.groupBy("host", "token").agg(F.sum("n").alias("n")).join(sizes, of_host).where(F.col("n") >= SHARE * F.col("pages"))
-    common = tokens.groupBy("host").agg(F.collect_list("token").alias("common"))  # twice a page's tokens at most
-    common = common.select(F.col("host").alias("_host"), "common", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    # Each token of such a substring stands on the share of the distinct pages too, and on no fewer with the copies; the
+    # bucket of its hash is on as many pages at least. So only stretches of tokens of such buckets are moved.
+    counts = "host string, size long, counts binary"
+    found = streams.select("host", "body").mapInPandas(tidy(_token_counts), counts).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+    found = found.groupBy("host", "size", "part").applyInPandas(_part, counts).join(sizes, of_host)
+    common = found.select("host", "size", "counts", "pages").groupBy("host").applyInPandas(_common, "_host string, common binary")
+    common = common.select("_host", "common", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     by = F.pmod("uid", F.lit(SALTS)).cast("int")
     asked = streams.select("host", "uid", "body").join(staged(common, "html-common"), of_host & (by == F.col("_salt")))
     moved = asked.select("host", "uid", "body", "common").mapInPandas(_stretches, "host string, uid long, text string")

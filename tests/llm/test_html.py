@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 
 from drumlin.llm import html
 from drumlin.llm.common import table
@@ -121,3 +122,34 @@ def test_edge_cases(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in found) == [(0, 1), (1, 0), (2, 0), (2, 0), (5, 99_999)]
     assert html.registered(pages(spark, [])).count() == 0
     assert set(html.extract(pages(spark, rows)).columns) == {"page_id", "url", "covered", "host", "text"}
+
+
+def test_tokens_are_counted_by_bucket(spark, monkeypatch):
+    """A vector a host and batch, not a row a token, is what moves; a bucket never counts fewer pages than its tokens are on."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"t{x}" for x in rng.integers(0, 60 * (1 + i % 3) ** 4, 40 + i)) for i in range(60)]
+    bodies = [html._packed([html.Block(html.OPEN, x)]) for x in texts]
+    hosts = ["a" if i % 3 else "b" for i in range(60)]
+    frame = pd.DataFrame({"host": hosts, "body": bodies})
+    found = pd.concat(html._token_counts(iter([frame[:25], frame[25:]])))
+    assert len(found) == 4
+    for name, parts in found.groupby("host"):
+        size = int(parts["size"].max())
+        total = html._added(parts["counts"], size)
+        sets = [set(x.split(" ")) for x, h in zip(texts, hosts, strict=True) if h == name]
+        for token in set().union(*sets):
+            at = int(pd.util.hash_array(np.array([token], dtype=object), categorize=False).astype(np.int64)[0]) & (size - 1)
+            assert total[at] >= sum(token in x for x in sets)
+    menu = "home news sport culture science travel weather contact imprint"
+    rows = [(i, "http://a.example/", f"<div>{menu}</div><p>{own(f'w{i}')}</p><div>{menu}</div>") for i in range(12)]
+    want = {i: own(f"w{i}") for i in range(12)}
+    assert {r.page_id: r.text for r in html.registered(pages(spark, rows)).collect()} == want
+    exact = html._token_counts
+
+    def crowded(batches):  # eight buckets, all full: every token passes for common
+        for part in exact(batches):
+            full = html._packed_counts(np.full(8, 12))
+            yield part.assign(size=8, counts=[full] * len(part))
+
+    monkeypatch.setattr(html, "_token_counts", crowded)
+    assert {r.page_id: r.text for r in html.registered(pages(spark, rows)).collect()} == want
