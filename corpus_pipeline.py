@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drumlin.llm import bpe, langid, mixing, neardup, pii
-from drumlin.llm.common import staged, table, unused
+from drumlin.llm.common import bounded, staged, table, unused
 from drumlin.llm.queries import vocabulary
 
 #: Least probability of the language found.
 SURE = 0.5
+#: Texts that a worker is handed at once, in all stages.
+BATCH = 2048
 
 
 def _around(docs: DataFrame, results: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -30,6 +32,8 @@ def _around(docs: DataFrame, results: tuple[str, ...], stage: Callable[[DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark, BATCH)
+
     def stage(rows: DataFrame) -> DataFrame:
         found = langid.identify(rows, langid.train(docs))
         kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
@@ -39,10 +43,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark, BATCH)
     return neardup.deduplicate(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark, BATCH)
     found = pii.redact(docs, pii.train(docs))
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -52,8 +58,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark, BATCH)
     file = vocabulary()
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), file), file)
+    # Written between: else two workers of a core hold the vocabulary, each for its half.
+    ids = staged(bpe.encode(docs.select("doc_id", "lang", "source", "text"), file), "pipeline-ids")
+    both = bpe.decode(ids, file)
     return both.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("text"), 256).alias("decoded_sha256"),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import held, strings
+from drumlin.llm.common import held, strings, tidy, trim
 
 END = "</w>"
 #: The pre-tokenizer's pattern and Unicode's white space, as the vocabulary file has them.
@@ -282,6 +282,8 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", text: str =
         spec = json.loads(content.value)
         known = {i: x for x, i in spec["model"]["vocab"].items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
         names = pa.array([known.get(i, "") for i in range(max(known) + 1)])
+        del spec, known
+        trim()
         for whole in batches:
             for batch in _slices(whole, 1000):
                 lists = batch.column(at)
@@ -289,7 +291,7 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids", text: str =
                 texts = pc.binary_join(tokens, " ")
                 yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*keep, text])
 
-    return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:

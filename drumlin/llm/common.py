@@ -85,12 +85,17 @@ def tidy(run: Callable[[Iterator[T]], Iterator[T]]) -> Callable[[Iterator[T]], I
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def bounded(spark: SparkSession, rows: int) -> None:
+    """From now on the session hands Python batches of so many rows at most: an executor and its workers hold several."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """What runs meanwhile hands Python batches of so many rows at most."""
     before = spark.conf.get(BATCH_ROWS)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(BATCH_ROWS, str(rows))
+    bounded(spark, rows)
     try:
         yield
     finally:

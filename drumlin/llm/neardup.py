@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drumlin.llm.common import chunks, staged, strings, unused
+from drumlin.llm.common import batches_of, chunks, staged, strings, tidy, unused
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -45,6 +45,8 @@ LIKELY = 0.58
 #: Texts, and shingles, of half a tile: what a worker holds of a band at once.
 TILE = 2048
 TILE_ITEMS = 1_000_000
+#: Texts that a worker is handed at once.
+BATCH = 2048
 #: Rows of a tile whose shared shingles are counted at once, and shingles per matrix product.
 BLOCK = 512
 
@@ -192,7 +194,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     }
                 )
 
-    return rows.mapInPandas(run, "node long, bands array<long>, sig binary, size long").dropDuplicates(["node"])
+    return rows.mapInPandas(tidy(run), "node long, bands array<long>, sig binary, size long").dropDuplicates(["node"])
 
 
 def _likeness(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -207,22 +209,21 @@ def _likeness(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(batch[c]), np.uint16).reshape(len(batch), REGISTERS) for c in ("sig_a", "sig_b"))
                 yield batch[["a", "b"]].assign(like=(x == y).mean(axis=1))
 
-    return both.mapInPandas(run, "a long, b long, like double")
+    return both.mapInPandas(tidy(run), "a long, b long, like double")
 
 
 def itemised(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and items of the texts of wanted nodes."""
+    """node and items of the texts of wanted nodes. Equal texts become one before, as items are neither sorted nor moved."""
     texts = docs.where("text is not null").select(node(F.col("text")).alias("node"), "text")
-    texts = texts.join(wanted, "node", "left_semi")
+    texts = texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch.drop_duplicates("node")
             texts = strings(batch["text"])
             for start, end in chunks(texts, 2_000_000):
                 yield pd.DataFrame({"node": batch["node"].to_numpy()[start:end], "items": items(texts[start:end])})
 
-    return texts.mapInPandas(run, "node long, items array<long>").dropDuplicates(["node"])
+    return texts.mapInPandas(tidy(run), "node long, items array<long>")
 
 
 def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -356,7 +357,7 @@ def _by_tile(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], sche
         if held:
             yield work(pd.concat(held, ignore_index=True))
 
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, schema)
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(tidy(run), schema)
 
 
 def across(bands: DataFrame, nodes: DataFrame, bags: DataFrame, parts: DataFrame) -> DataFrame:
@@ -397,6 +398,11 @@ def across(bands: DataFrame, nodes: DataFrame, bags: DataFrame, parts: DataFrame
 
 def connected(docs: DataFrame) -> DataFrame:
     """node, component of all nodes with a link."""
+    with batches_of(docs.sparkSession, BATCH):
+        return _connected(docs)
+
+
+def _connected(docs: DataFrame) -> DataFrame:
     nodes = staged(signed(docs), "bag-nodes")
     sigs = nodes.select("node", "sig")
     bands = nodes.select("node", F.explode("bands").alias("band"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drumlin.llm.common import chunks, strings
+from drumlin.llm.common import chunks, strings, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -333,7 +333,7 @@ def train(docs: DataFrame, *, sample_docs: int = 8000, windows: int = 900) -> Mo
             ]
             yield pd.DataFrame(found, columns=["window", "spans", "kind"])
 
-    found = rows.where(drawn & F.col("text").rlike("[0-9@]")).select("text").mapInPandas(cut, "window string, spans string, kind string")
+    found = rows.where(drawn & F.col("text").rlike("[0-9@]")).select("text").mapInPandas(tidy(cut), "window string, spans string, kind string")
     # A hash decides which windows stay, the same number of each kind.
     taken = found.dropDuplicates().groupBy("kind").agg(
         F.slice(F.array_sort(F.collect_list(F.struct(F.md5(F.concat("window", "spans")).alias("at"), "window", "spans"))), 1, windows // 5).alias("w")
@@ -454,7 +454,7 @@ def find(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFra
                 yield batch[keep][start:end].assign(spans=rows)
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("spans", SPANS)])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text)).mapInPandas(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text)).mapInPandas(tidy(run), schema)
 
 
 def masked(text: str, spans: list[tuple[int, int, str, bool]]) -> str:
@@ -481,7 +481,7 @@ def redact(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataF
             batch[text] = [new if isinstance(old, str) else None for new, old in zip(found, batch[text], strict=True)]
             yield batch
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInPandas(tidy(run), docs.schema)
 
 
 def _listed(spans: Column) -> Column:

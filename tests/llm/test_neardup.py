@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from drumlin.llm import neardup
+from drumlin.llm import common, neardup
 from tests.llm.frames import docs, rows
 
 DOCS = "doc_id long, text string"
@@ -181,3 +181,27 @@ def test_forest_connects_what_the_matrix_connects():
     for _ in range(6):
         reach, own = reach @ reach, own @ own
     assert (reach == own).all()
+
+
+def test_items_are_neither_sorted_nor_moved(spark):
+    """Copies become one text before: above the step that makes the items nothing is dealt out or sorted."""
+    given = [(i, text([f"w{i % 4}x{j}" for j in range(30)])) for i in range(24)] + [(99, None)]
+    frame = spark.createDataFrame(given, DOCS)
+    nodes = frame.where("doc_id in (0, 1, 2)").select(neardup.node(frame["text"]).alias("node"))
+    found = neardup.itemised(frame, nodes)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInPandas")]
+    assert not any(x in above for x in ("Exchange", "Sort", "Aggregate"))
+    got = {r.node: sorted(r.items) for r in found.collect()}
+    assert found.count() == 3 and sorted(got.values()) == sorted(sorted(x.tolist()) for x in neardup.items([t for _, t in given[:3]]))
+
+
+def test_workers_get_few_texts_at_once_and_keep_nothing(spark, monkeypatch):
+    seen, staged = [], neardup.staged
+    before = spark.conf.get(common.BATCH_ROWS)
+    monkeypatch.setattr(neardup, "staged", lambda df, label: seen.append(int(spark.conf.get(common.BATCH_ROWS))) or staged(df, label))
+    neardup.connected(spark.createDataFrame(corpus()[:20], DOCS))
+    assert seen and max(seen) <= neardup.BATCH and spark.conf.get(common.BATCH_ROWS) == before
+    monkeypatch.setitem(common._HELD, "encoder", object())
+    assert list(common.tidy(lambda batches: (len(common._HELD) + x for x in batches))(iter([1, 2]))) == [1, 2]
+    assert not common._HELD

@@ -2,7 +2,7 @@ import hashlib
 
 import corpus_pipeline
 from drumlin.llm import neardup, pii
-from drumlin.llm.common import staged, table
+from drumlin.llm.common import BATCH_ROWS, staged, table
 from tests.llm.frames import docs
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -43,3 +43,10 @@ def test_edge_cases(spark):
             now = staged(stage(spark, now, SF_DIR), f"edge-{name}")
             assert now.columns == frame.columns
         corpus_pipeline.STAGES[-1][1](spark, now, SF_DIR).collect()
+
+
+def test_a_core_has_one_worker_for_tokens(spark):
+    """Ids are written before they are decoded, so no two workers hold the vocabulary for one task."""
+    found = corpus_pipeline.tokens(spark, docs(spark), SF_DIR)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert 0 < int(spark.conf.get(BATCH_ROWS)) <= corpus_pipeline.BATCH
