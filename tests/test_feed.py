@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from drumlin.contract import GRAIN
+from drumlin.operators import changes
 from drumlin.operators.changes import compare, last_images
 from drumlin.operators.deltas import corrected, signed_counts
 from drumlin.operators.upsert import IGNORE, NARROW, UPDATE
@@ -193,3 +194,13 @@ def test_a_change_applied_twice_raises(spark, folder):
     assert corrected(counts, minus, GRAIN).count() == 0
     with pytest.raises(Exception, match="below zero"):
         corrected(counts, minus.unionByName(minus), GRAIN).collect()
+
+
+def test_first_load_is_all_inserts(spark):
+    """As a comparison with no rows, a NULL key included, but without a join."""
+    new = spark.createDataFrame([("a", 1, None), ("b", None, "x"), (None, 2, "y")], "k string, n int, t string")
+    found = changes.inserts(new, "k")
+    want = changes.compare(new.where("false"), new, "k")
+    assert found.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()

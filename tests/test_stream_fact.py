@@ -51,3 +51,43 @@ def test_watermark_ignores_clocks_that_are_ahead(spark, folder):
     feed.record(spark, layout.raw)
     marks = stream.watermarks(feed.read(spark, layout.raw), timedelta(days=1))
     assert list(marks) == [1, 2] and marks[2].startswith("2024-02-02 00:00:00")
+
+
+def test_state_holds_open_days_and_sums_taken_back_are_none(spark, folder):
+    layout = refresh.Layout(folder)
+    many = [event(f"m{i}", timestamp=day(1 + i % 6, i), metric_value=i) for i in range(12)]
+    steps = [
+        many,  # of the six days the load itself closes four
+        [event("m0", timestamp=day(1), metric_value=None), event("m5", timestamp=day(6, 5), metric_value=None)],
+    ]
+    for i, batch in enumerate(steps):
+        now = datetime(2024, 2, 7, i)
+        put(spark, layout.raw, batch, now)
+        feed.record(spark, layout.raw)
+        stream.advance(spark, layout, f"{folder}/checkpoint", now)
+        want = fact_daily(stage(load.read_raw(spark, layout.raw), now))
+        assert plain(stream.read_fact(spark, layout)) == plain(want)
+    state = spark.read.format("statestore").option("batchId", 0).load(f"{folder}/checkpoint")
+    days = {row.day.isoformat() for row in state.select("key.metric_date").withColumnRenamed("metric_date", "day").collect()}
+    assert days == {"2024-02-05", "2024-02-06"}
+
+
+def test_totals_of_a_batch_are_made_once(spark, folder, monkeypatch):
+    layout = refresh.Layout(folder)
+    put(spark, layout.raw, [event("a", timestamp=day(3))], datetime(2024, 2, 4))
+    feed.record(spark, layout.raw)
+    made = spark.sparkContext.accumulator(0)
+    stateful = stream._stateful
+
+    def counted(dated):
+        def see(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        totals = stateful(dated)
+        return totals.mapInArrow(see, totals.schema)
+
+    monkeypatch.setattr(stream, "_stateful", counted)
+    stream.advance(spark, layout, f"{folder}/checkpoint", datetime(2024, 2, 4))
+    assert made.value == 1
